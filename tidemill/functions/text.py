@@ -52,5 +52,4 @@ def utm(url: Column, key: str) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-cased words of a text, in order; NULL text has none."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), fixed.WORD_BREAK_PATTERN)
-    return F.filter(words, lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), fixed.WORD_BREAK_PATTERN), "")

@@ -20,6 +20,10 @@ def query_terms(query: str) -> list[str]:
     return sorted({w for w in re.split(r"[\W_]+", query.lower()) if w})
 
 
+def _occurrences(words: str, term: str) -> Column:
+    return F.size(F.filter(words, lambda word: word == F.lit(term)))
+
+
 def _idf(n: Column, df: Column) -> Column:
     return F.ln(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
 
@@ -41,27 +45,28 @@ def keyword_search(
     terms = query_terms(query)
     if not terms:
         return docs.select(key, F.lit(0.0).alias("score")).limit(0)
-    words = docs.select(key, tokens(F.col(text)).alias("w")).select(
-        key,
-        F.size("w").alias("length"),
-        *[F.size(F.filter("w", lambda x, t=t: x == t)).alias(f"tf{i}") for i, t in enumerate(terms)],
-    )
+    cut = docs.select(key, tokens(F.col(text)).alias("w"))
+    # Cut down to the query's words first: the counts per word then look at a few elements, not at the whole text.
+    found = cut.select(key, F.size("w").alias("length"), F.filter("w", lambda word: word.isin(terms)).alias("hits"))
+    words = found.select(key, "length", *[_occurrences("hits", t).alias(f"tf{i}") for i, t in enumerate(terms)])
     totals = words.agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         F.avg("length").alias("mean"),
         *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
     )
-    stats = totals.select(F.struct("*").alias("s")).scalar()
-    scored = words.where(F.greatest(*[F.col(f"tf{i}") for i in range(len(terms))], F.lit(0)) > 0).withColumn("s", stats)
+    scored = words.withColumn("s", totals.select(F.struct("*")).scalar())
     score = F.lit(0.0)
     for i in range(len(terms)):
         idf = _idf(F.col("s.n"), F.col(f"s.df{i}"))
         score = score + _term_score(F.col(f"tf{i}"), idf, F.col("length"), F.col("s.mean"), k1, b)
-    return scored.select(key, score.alias("score")).orderBy(F.col("score").desc(), key).limit(k)
+    best = scored.select(key, score.alias("score")).orderBy(F.col("score").desc(), key).limit(k)
+    # A document without any of the words scores 0 and sorts last. Dropping those after the limit keeps the filter from
+    # being pushed below the scoring, where it would cut the texts a second time.
+    return best.where(F.col("score") > 0)
 
 
 def index_terms(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document and distinct word: (term, key, tf, length). Sort it by term when storing it.
+    """One row per document and distinct word: (term, key, tf, length).
 
     Repeated words collapse in the map tasks, so a word found in every document costs one row per document.
     """
@@ -71,6 +76,16 @@ def index_terms(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
 
 
+def store_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> None:
+    """Write the index under a path, gathered and sorted by term so that a search skips all but a few row groups.
+
+    The rebalance hint splits the rows of a very common word over several files.
+    """
+    index = index_terms(docs, key, text).hint("rebalance", "term").sortWithinPartitions("term", key)
+    index.write.mode("overwrite").parquet(f"{path}/terms")
+    corpus_size(docs, text).write.mode("overwrite").parquet(f"{path}/corpus")
+
+
 def corpus_size(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row (n, mean): documents and their mean length in words, stored next to the index."""
     return docs.select(F.size(tokens(F.col(text))).alias("length")).agg(

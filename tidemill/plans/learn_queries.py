@@ -216,11 +216,7 @@ def keyword_search(shop: Shop) -> DataFrame:
 @query(_BM25)
 def keyword_search_index(shop: Shop) -> DataFrame:
     """The same search over a stored index of terms."""
-    docs, root = shop.table("documents"), run_dir(shop.spark, "terms")
-    index = search.index_terms(docs).repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
-    index.write.parquet(f"{root}/index")
-    search.corpus_size(docs).write.parquet(f"{root}/corpus")
-    stored = shop.spark.read.parquet(f"{root}/index"), shop.spark.read.parquet(f"{root}/corpus")
-    return search.search_index(*stored, SEARCH).withColumn("score", F.round("score", 6))
-
-
+    root = run_dir(shop.spark, "index")
+    search.store_index(shop.table("documents"), root)
+    terms, corpus = (shop.spark.read.parquet(f"{root}/{part}") for part in ("terms", "corpus"))
+    return search.search_index(terms, corpus, SEARCH).withColumn("score", F.round("score", 6))

@@ -52,18 +52,18 @@ def metric_delta(shop: Shop) -> DataFrame:
     return made.withColumn("delta", F.round("delta", 6))
 
 
-_SECONDS = "epoch(ts) - 1704067200"
+_SECONDS = "(epoch_us(ts) - 1704067200000000) / 1e6"
 
 
 @query(
-    f"""select series, instance, ts, round(case when count(*) over w >= 2 then regr_slope(gauge, {_SECONDS}) over w end, 8) + 0.0
+    f"""select series, instance, ts, round(case when count(*) over w >= 2 then regr_slope(gauge, {_SECONDS}) over w end, 7) + 0.0
                as deriv
        from metrics window w as ({_W6})""",
     ("metrics",),
 )
 def metric_deriv(shop: Shop) -> DataFrame:
     made = series.deriv(shop.frame("metrics"), LABELS, "ts", "gauge", SIX_HOURS)
-    return made.withColumn("deriv", F.round("deriv", 8) + 0.0)
+    return made.withColumn("deriv", F.round("deriv", 7) + 0.0)
 
 
 @query("select series, ts, round(sum(value), 6) as value from lag group by all", ("lag",))
@@ -111,13 +111,13 @@ def alert_ratio(shop: Shop) -> DataFrame:
             d as (select *, case when count(*) over w >= 2 then regr_slope(value, {_SECONDS}) over w end as deriv
                   from s window w as (partition by series order by ts range between
                                       interval '21599.999999 seconds' preceding and current row))
-       select series, ts, round(value, 6) as value, round(deriv, 8) as deriv from d where value > 50 and deriv > 0""",
+       select series, ts, round(value, 6) as value, round(deriv, 7) as deriv from d where value > 50 and deriv > 0""",
     ("lag",),
 )
 def alert_lag_growing(shop: Shop) -> DataFrame:
     """High and growing, with a bound that fits the data and a window of six hours."""
     found = alerts.lag_growing(shop.frame("lag"), ["series"], bound=50, window=SIX_HOURS)
-    return found.withColumns({"value": F.round("value", 6), "deriv": F.round("deriv", 8)})
+    return found.withColumns({"value": F.round("value", 6), "deriv": F.round("deriv", 7)})
 
 
 @query(

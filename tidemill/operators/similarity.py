@@ -10,6 +10,7 @@ that are NULL or all zero have no direction and are left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -116,30 +117,23 @@ def _scan(rows: list, corpus: DataFrame, k: int, key: str, vector: str, schema:
     return corpus.select(key, vector).mapInPandas(search, schema)
 
 
-def _deal(
-    queries: DataFrame, corpus: DataFrame, k: int, key: str, vector: str, schema: str, corpus_block: int, query_block: int
-) -> DataFrame:
+def _deal(queries: DataFrame, corpus: DataFrame, k: int, key: str, vector: str, schema: str) -> DataFrame:
     """Compare queries with the vectors of their cells, block against block.
 
-    A cell is cut into as many blocks as its size asks for, dealt by a hash of the key, so neither a crowded cell nor
-    many copies of one vector make a large task. Every query block of a cell meets every vector block of it once.
+    Both sides carry ``cell`` and into how many blocks its vectors (``c_blocks``) and its queries (``q_blocks``) are cut.
+    Rows are dealt to blocks by a hash of their key, so neither a crowded cell nor many copies of one vector make a large
+    task. Every query block of a cell meets every vector block of it once.
     """
     unit, best = _kernel(k)
 
-    def blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
-        return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
-
-    plan = blocks(corpus, "c_blocks", corpus_block).join(blocks(queries, "q_blocks", query_block), "cell")
-
-    def spread(rows: DataFrame, columns: list, own: str, own_blocks: str, other: str, other_blocks: str) -> DataFrame:
+    def spread(rows: DataFrame, own: str, own_blocks: str, other: str, other_blocks: str) -> DataFrame:
         mine = F.pmod(F.xxhash64(rows.columns[0]), F.col(own_blocks)).cast("int").alias(own)
         theirs = F.explode(F.sequence(F.lit(0), F.col(other_blocks) - 1)).alias(other)
-        return rows.join(plan, "cell").select("cell", *columns, mine, theirs)
+        return rows.select(*rows.columns[:2], "cell", mine, theirs)
 
-    vectors = spread(corpus.select(key, vector, "cell"), [key, vector], "cb", "c_blocks", "qb", "q_blocks")
-    asked = spread(
-        queries.select(QUERY, F.col(vector).alias("__query"), "cell"), [QUERY, "__query"], "qb", "q_blocks", "cb", "c_blocks"
-    )
+    sizes = ["cell", "c_blocks", "q_blocks"]
+    vectors = spread(corpus.select(key, vector, *sizes), "cb", "c_blocks", "qb", "q_blocks")
+    asked = spread(queries.select(QUERY, F.col(vector).alias("__query"), *sizes), "qb", "q_blocks", "cb", "c_blocks")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         query_ids, matrix = unit(left[QUERY], left["__query"])
@@ -170,12 +164,12 @@ def similar(
     few = queries.select(QUERY, vector).limit(BROADCAST_QUERIES + 1).collect()
     if len(few) <= BROADCAST_QUERIES:
         return _ranked(_scan(few, corpus, k, key, vector, schema), key, k)
-    one_cell = F.lit(0)
-    found = _deal(
-        queries.select(QUERY, vector).withColumn("cell", one_cell),
-        corpus.select(key, vector).withColumn("cell", one_cell),
-        k, key, vector, schema, corpus_block, query_block,
-    )
+    blocks = {
+        "cell": F.lit(0),
+        "c_blocks": F.lit(max(1, math.ceil(corpus.count() / corpus_block))),
+        "q_blocks": F.lit(max(1, math.ceil(queries.count() / query_block))),
+    }
+    found = _deal(queries.withColumns(blocks), corpus.withColumns(blocks), k, key, vector, schema)
     return _ranked(found, key, k)
 
 
@@ -215,4 +209,10 @@ def similar_approx(
         QUERY, vector, F.explode(nearest(probes)(vector)).alias("cell")
     )
     dealt = usable.select(key, vector, F.get(nearest(1)(vector), F.lit(0)).alias("cell"))
-    return _ranked(_deal(asked, dealt, k, key, vector, schema, corpus_block, query_block), key, k)
+
+    def blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
+        return rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+
+    # At most one row per cell, so Spark broadcasts it.
+    sizes = blocks(dealt, "c_blocks", corpus_block).join(blocks(asked, "q_blocks", query_block), "cell")
+    return _ranked(_deal(asked.join(sizes, "cell"), dealt.join(sizes, "cell"), k, key, vector, schema), key, k)

@@ -495,7 +495,7 @@ def csv_roundtrip(shop: Shop) -> DataFrame:
         "user_id bigint, email string, full_name string, total_pageviews bigint, active_days bigint, "
         "last_active_date date, days_since_last_active int, engagement_segment string"
     )
-    return shop.spark.read.option("header", True).schema(schema).csv(path).select(*fixed.CSV_SEGMENT_HEADER)
+    return shop.spark.read.option("header", True).option("escape", '"').schema(schema).csv(path).select(*fixed.CSV_SEGMENT_HEADER)
 
 
 @query("select * from pageviews", ("pageviews",))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.schemas import layout
 from tidemill.sources.versions import current
@@ -24,14 +25,16 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str, with_parti
     path = current(spark, table_path(root, layer, name))
     if path is None:
         raise FileNotFoundError(f"no finished version of {layer}.{name} under {root}")
-    df = spark.read.parquet(path)
     plan = layout(f"{layer}.{name}")
     if not plan.schema.fields:
-        return df
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in plan.schema.fields]
-    if with_partition and plan.partition_column and plan.partition_column not in plan.schema.names:
-        columns.append(F.col(plan.partition_column))
-    return df.select(*columns)
+        return spark.read.parquet(path)
+    names, folder = plan.schema.names, plan.partition_column
+    stored = plan.schema
+    if folder and folder not in names:
+        stored = T.StructType([*stored.fields, T.StructField(folder, T.DateType())])
+    # The declared schema spares reading file footers, and an empty table has none to read.
+    df = spark.read.schema(stored).parquet(path)
+    return df.select(*names, folder) if with_partition and folder and folder not in names else df.select(*names)
 
 
 def read_dimension(spark: SparkSession, root: str, layer: str, name: str, columns: list[str]) -> DataFrame:

@@ -156,7 +156,7 @@ _FUNNEL = """
                on v.item_id = pe.item_id and v.user_id = pe.user_id and cast(v.received_at as date) = pe.purchase_date)
     select item_id, item_name, item_category, count(distinct viewer) as unique_pageview_users,
            count(distinct buyer) as unique_purchase_users, count(pid) as total_purchases, count(viewer) as total_pageviews,
-           round(case when count(viewer) = 0 then 0 else cast(count(pid) as double) / count(viewer) end, 6) as conversion_rate
+           round(coalesce(count(pid) / nullif(count(viewer), 0), 0), 6) as conversion_rate
     from j group by all"""
 
 
@@ -165,7 +165,7 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 @query(
-    _FUNNEL + " order by cast(count(pid) as double) / count(viewer) desc, item_id limit 10",
+    _FUNNEL + " order by coalesce(count(pid) / nullif(count(viewer), 0), 0) desc, item_id limit 10",
     ("silver_views", "silver_purchases"),
 )
 def top_converting_items(shop: Shop) -> DataFrame:
@@ -280,16 +280,16 @@ def join_live(shop: Shop) -> DataFrame:
 
 # Engagement -----------------------------------------------------------------------------------------------------------
 
-_ENGAGED = f"""select u.id as user_id, u.email, u.full_name, count(p.page) as total_pageviews,
-        count(distinct cast(p.received_at as date)) as active_days,
-        cast(max(cast(p.received_at as date)) as varchar) as last_active_date,
-        cast(date_diff('day', max(cast(p.received_at as date)), date '2024-01-31') as int) as days_since_last_active,
-        case when count(p.page) >= 50 and date_diff('day', max(cast(p.received_at as date)), date '2024-01-31') <= 3
-             then 'high_engagement'
-             when count(p.page) between 10 and 49
-                  and date_diff('day', max(cast(p.received_at as date)), date '2024-01-31') <= 7 then 'medium_engagement'
-             else 'low_engagement' end as engagement_segment
-    from silver_users u left join silver_views p on u.id = p.user_id where u.valid_email group by u.id, u.email, u.full_name"""
+_ENGAGED = """
+    with seen as (select user_id, count(page) as n, count(distinct cast(received_at as date)) as days,
+                         max(cast(received_at as date)) as last_day from silver_views group by user_id),
+         a as (select u.id as user_id, email, full_name, coalesce(n, 0) as total_pageviews, coalesce(days, 0) as active_days,
+                      cast(last_day as varchar) as last_active_date,
+                      cast(date '2024-01-31' - last_day as int) as days_since_last_active
+               from silver_users u left join seen on seen.user_id = u.id where u.valid_email)
+    select a.*, if(total_pageviews > 49 and days_since_last_active < 4, 'high_engagement',
+                   if(total_pageviews in (select unnest(range(10, 50))) and days_since_last_active < 8, 'medium_engagement',
+                      'low_engagement')) as engagement_segment from a"""
 
 
 @query(_ENGAGED, ("silver_users", "silver_views"))
@@ -298,7 +298,7 @@ def engagement_segments(shop: Shop) -> DataFrame:
 
 
 @query(
-    f"with e as ({_ENGAGED}) select engagement_segment, count(*) as users from e group by all",
+    f"select engagement_segment, count(*) as users from ({_ENGAGED}) e group by all",
     ("silver_users", "silver_views"),
 )
 def segment_sizes(shop: Shop) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill import fixed
 from tidemill.operators import silver
 from tidemill.plans.frames import FRAMES, frame, frame_sql, source
 
@@ -45,7 +46,6 @@ class Shop:
 
 
 # The silver tables as the checking engine writes them.
-_EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 _ENRICHED = """
     select p.id, p.user_id, p.item_id, p.quantity, p.purchase_price,
            cast(p.quantity * p.purchase_price as decimal(14,2)) as total_price,
@@ -56,7 +56,7 @@ _ENRICHED = """
 SILVER_SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "silver_users": (
         ("users",),
-        f"select *, regexp_matches(email, '{_EMAIL}') as valid_email, concat_ws(' ', first_name, last_name) as full_name "
+        f"select *, regexp_matches(email, '{fixed.EMAIL_PATTERN}') as valid_email, concat_ws(' ', first_name, last_name) as full_name "
         "from users",
     ),
     "silver_items": (

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill import fixed
 from tidemill.functions import cosine_distance, similarity
 from tidemill.operators import features, recommend, search
 from tidemill.operators import similarity as vectors
@@ -163,27 +164,29 @@ def embed_reviews(shop: Shop) -> DataFrame:
     return vectors.embed_hashed(docs, "doc_id", "text")
 
 
-def _hashing_encoder():
+def _hashed_words(size: int):
     """A stand-in for a sentence encoder: words hashed to signed positions, scaled to length 1."""
-    size = 384
 
-    def encode(texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), size), dtype=np.float32)
-        for row, text in enumerate(texts):
-            for word in text.lower().split():
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big")
-                out[row, h % size] += 1.0 if h >> 63 else -1.0
-        sizes = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.maximum(sizes, 1e-12)
+    def make():
+        def encode(texts: list[str]) -> np.ndarray:
+            out = np.zeros((len(texts), size), dtype=np.float32)
+            for row, text in enumerate(texts):
+                for word in text.lower().split():
+                    h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big")
+                    out[row, h % size] += 1.0 if h >> 63 else -1.0
+            sizes = np.linalg.norm(out, axis=1, keepdims=True)
+            return out / np.maximum(sizes, 1e-12)
 
-    return encode
+        return encode
+
+    return make
 
 
 @query("select doc_id, 384 as size, true as unit from documents where doc_id not in (select doc_id from labels)")
 def embed_pending(shop: Shop) -> DataFrame:
     """Vectors by a pluggable encoder, for the documents without a finished row; the result tells their shape."""
     todo = pending(shop.table("documents"), shop.table("labels"), "doc_id")
-    made = vectors.embed(todo, "doc_id", "text", lambda: _hashing_encoder())
+    made = vectors.embed(todo, "doc_id", "text", _hashed_words(fixed.EMBEDDING_SIZE))
     length = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return made.select(
         "doc_id", F.size("embedding").alias("size"), ((F.abs(length - 1) < 1e-3) | (length == 0)).alias("unit")

@@ -121,16 +121,16 @@ def alert_lag_growing(shop: Shop) -> DataFrame:
 
 
 @query(
-    """with c as (select *, coalesce(gauge > 20, false) as o from metrics),
+    """with c as (select *, coalesce(gauge > 4, false) as o from metrics),
             r as (select *, count(*) filter (where not o) over (partition by series, instance order by ts) as g from c),
             a as (select series, instance, ts, min(ts) over (partition by series, instance, g) as s, g from r where o)
-       select series, instance, s as active_at, min(ts) filter (where ts >= s + interval 2 hour) as fired_at,
+       select series, instance, s as active_at, min(ts) filter (where ts >= s + interval 1 hour) as fired_at,
               max(ts) as last_seen, count(*) as samples
-       from a group by series, instance, g, s having max(ts) >= s + interval 2 hour""",
+       from a group by series, instance, g, s having max(ts) >= s + interval 1 hour""",
     ("metrics",),
 )
 def alert_sustained(shop: Shop) -> DataFrame:
-    return alerts.sustained(shop.frame("metrics"), LABELS, "ts", F.col("gauge") > 20, hold=7_200)
+    return alerts.sustained(shop.frame("metrics"), LABELS, "ts", F.col("gauge") > 4, hold=3_600)
 
 
 @query(

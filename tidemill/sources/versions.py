@@ -42,3 +42,15 @@ def current(spark: SparkSession, path: str) -> str | None:
 def following(spark: SparkSession, path: str) -> str:
     numbers = numbered(spark, path)
     return version_path(path, numbers[-1] + 1 if numbers else 0)
+
+
+def expire(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete finished versions before the newest ``keep``; queries still reading one of those would fail."""
+    if keep < 1:
+        raise ValueError("the current version cannot be dropped")
+    jvm, gone = spark.sparkContext._jvm, []
+    for number in numbered(spark, path)[:-keep]:
+        folder = jvm.org.apache.hadoop.fs.Path(version_path(path, number))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        gone.append(version_path(path, number))
+    return gone

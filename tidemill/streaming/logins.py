@@ -46,7 +46,8 @@ def login_alerts(
     if logins.isStreaming:
         timed = with_event_time(timed, "event_time", delay)
     else:
-        timed = timed.where(F.col("event_time").isNotNull())
+        # Without a zone the windows of a table start on its own wall clock, whatever the session's zone.
+        timed = timed.withColumn("event_time", F.col("event_time").cast("timestamp_ntz")).where("event_time is not null")
     known = timed.join(_profiles(users).drop("full_name"), "user_id", "left")
     who = ["user_id", "user_email"]
     per_device = known.groupBy(F.window("event_time", window).alias("w"), *who, "device").agg(

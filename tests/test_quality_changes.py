@@ -114,8 +114,9 @@ def test_latest_state(spark):
     assert "WindowGroupLimit" in plan(latest)
 
 
+@pytest.mark.parametrize("small", [5, 200_000])
 @pytest.mark.parametrize("order", ["forward", "backward", "mixed"])
-def test_apply_in_any_order_and_twice(spark, order):
+def test_apply_in_any_order_and_twice(spark, order, small):
     data, df = make_changes(spark)
     cuts = {"forward": [0, 150, 250, 400], "backward": [250, 400, 0, 250], "mixed": [100, 300, 0, 400]}[order]
     batches = [df.where(f"seq >= {a} and seq < {b}") for a, b in zip(cuts[::2], cuts[1::2])]
@@ -123,7 +124,7 @@ def test_apply_in_any_order_and_twice(spark, order):
         batches = [df.where("seq < 150"), df.where("seq >= 150 and seq < 250"), df.where("seq >= 250"), df.where("seq >= 150")]
     state = cdc.newest_change(batches[0], "id")
     for batch in batches[1:]:
-        state = cdc.apply_changes(state, batch, "id")
+        state = cdc.apply_changes(state, batch, "id", small=small)
     assert rows(cdc.live(state)) == final(data)
 
 

@@ -15,6 +15,8 @@ from tidemill.functions import as_ntz
 from tidemill.operators.dedup import newest_first, top_per_key
 from tidemill.sources.changes import DELETE, OP, SEQ
 
+SMALL_BATCH = 200_000
+
 
 def newest_change(changes: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
     """The change with the highest sequence per key, deletes included. Reduced inside the map tasks first."""
@@ -31,20 +33,21 @@ def latest_state(changes: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
     return live(newest_change(changes, key, seq))
 
 
-def apply_changes(state: DataFrame, changes: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
+def apply_changes(state: DataFrame, changes: DataFrame, key: str, seq: str = SEQ, small: int = SMALL_BATCH) -> DataFrame:
     """The state after a batch of changes, in any order and with repeats.
 
-    Written for a large state and a small batch: the batch is reduced to one row per key, and then both joins have it,
-    or the few state keys it touches, on their small side. When Spark finds that side under its broadcast threshold the
-    state is filtered in place and not shuffled; otherwise these are ordinary shuffled joins.
+    A batch counted to touch at most ``small`` keys is broadcast, as keys and sequences only, and the state is filtered
+    where it lies. A larger one is put to the state and both are reduced to the newest row per key, in one shuffle.
     """
     batch = newest_change(changes, key, seq).select(*state.columns)
-    marks = batch.select(F.col(key).alias("__key"), F.col(seq).alias("__seq"))
+    if batch.select(key).limit(small + 1).count() > small:
+        return newest_change(state.unionByName(batch), key, seq)
+    marks = F.broadcast(batch.select(F.col(key).alias("__key"), F.col(seq).alias("__seq")))
     same = F.col(key) == F.col("__key")
     kept = state.join(marks, same & (F.col("__seq") >= F.col(seq)), "left_anti")
+    # Keys of the state that are ahead of the batch: no more than the batch has.
     ahead = state.join(marks, same & (F.col("__seq") < F.col(seq)), "left_semi").select(F.col(key).alias("__key"))
-    incoming = batch.join(ahead, same, "left_anti")
-    return kept.unionByName(incoming)
+    return kept.unionByName(batch.join(F.broadcast(ahead), same, "left_anti"))
 
 
 def as_of(history: DataFrame, key: str, at: datetime, ts: str = "ts", seq: str = SEQ) -> DataFrame:

@@ -99,11 +99,13 @@ def drop_orphans(facts: DataFrame, dims: dict[str, DataFrame], key: str = "id")
 
 
 def orphans(facts: DataFrame, dims: dict[str, DataFrame], key: str = "id") -> DataFrame:
-    """The facts that ``drop_orphans`` removes, with the first reference that is broken."""
-    rejects = None
+    """The facts that ``drop_orphans`` removes, with the first reference that is broken. One pass over the facts."""
+    broken = None
     for column, dim in dims.items():
-        known = dim.select(F.col(key).alias(column))
-        broken = facts.join(known, column, "left_anti").select(*facts.columns, F.lit(column).alias("broken_key"))
-        rejects = broken if rejects is None else rejects.unionByName(broken)
-        facts = facts.join(known, column, "left_semi")
-    return rejects
+        found = f"__found_{column}"
+        known = dim.select(F.col(key).alias(column)).distinct().withColumn(found, F.lit(True))
+        facts = facts.join(known, column, "left")
+        missing = F.col(found).isNull()
+        broken = F.when(missing, F.lit(column)) if broken is None else broken.when(missing, F.lit(column))
+    flags = [f"__found_{column}" for column in dims]
+    return facts.withColumn("broken_key", broken).where(F.col("broken_key").isNotNull()).drop(*flags)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemill import fixed
 from tidemill.operators import silver
 from tidemill.plans.frames import FRAMES, frame, frame_sql, source
+from tidemill.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -120,7 +121,7 @@ def query(check: str | None = None, needs: tuple[str, ...] = ()):
 
         @functools.wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(build(Shop(spark, sf_dir)))
+            return plain(build(Shop(tune(spark), sf_dir)))
 
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")

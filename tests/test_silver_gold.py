@@ -199,3 +199,43 @@ def test_revenue_by_category_sums_items_first(shop):
     users, items, purchases = shop
     got = sales.revenue_by_category(purchases, items, NOW)
     assert rows(got) == [("home", 1, Decimal("9.99"))]
+
+
+def test_hot_and_missing_keys_are_split(spark):
+    """A user with half of all purchases and a missing user with a quarter are spread over several join tasks."""
+    keep = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "40",
+    }
+    before = {k: spark.conf.get(k, None) for k in keep}
+    try:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+        users = spark.range(500).select("id", F.concat(F.lit("u"), "id").alias("email"))
+        items = spark.range(500).select("id", F.lit("n").alias("name"), F.lit("c").alias("category"))
+        user = F.when(F.col("id") % 4 < 2, 7).when(F.col("id") % 4 == 2, None).otherwise(F.col("id") % 500)
+        purchases = spark.range(0, 40_000, 1, 20).select(
+            "id", user.cast("bigint").alias("user_id"), (F.col("id") % 600).alias("item_id"), F.lit(1).alias("quantity"),
+            F.lit(Decimal("2.00")).cast("decimal(12,2)").alias("purchase_price"),
+            F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("created_at"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("updated_at"),
+        )
+        joined = silver.enrich_purchases(purchases, users, items)
+        got = joined.groupBy("user_email").agg(F.count("*").alias("n"))
+        assert {r.user_email: r.n for r in got.collect() if r.n > 5000} == {"u7": 20_000 + 80, None: 10_000}
+        assert "skew=true" in _as_run(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _as_run(df):
+    """The plan after adaptive re-planning."""
+    df.write.format("noop").mode("overwrite").save()
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    return execution.executedPlan().toString()

@@ -82,5 +82,7 @@ def stream_session(spark: SparkSession) -> SparkSession:
     sibling = tune(spark.newSession())
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
     sibling.conf.set(STATE_STORE_KEY, ROCKSDB_STATE_STORE)
-    sibling.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    # Stateful steps are not re-planned at run time, so their partitions are kept near the number of cores.
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sibling.conf.set("spark.sql.shuffle.partitions", str(min(wanted, 2 * spark.sparkContext.defaultParallelism)))
     return sibling

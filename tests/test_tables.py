@@ -13,8 +13,8 @@ from tidemill import fixed
 from tidemill.functions.clock import last
 from tidemill.operators.maintenance import compact_if_ready
 from tidemill.schemas import LAYOUTS, PAGEVIEW_EVENT
-from tidemill.sinks import append, compact, export_csv, jdbc_write_options, overwrite_partitions, replace_table
-from tidemill.sources import is_ready, jdbc_read_options, lookup, pending, quarantine_json, read_json_events, read_layer
+from tidemill.sinks import append, compact, export_csv, init_layers, jdbc_write_options, overwrite_partitions, replace_table
+from tidemill.sources import is_ready, jdbc_read_options, lookup, pending, quarantine_json, read_json_events, read_layer, register_views
 from tidemill.sources.jdbc import KeyRange
 from tidemill.sources.versions import numbered
 
@@ -144,3 +144,20 @@ def test_decimal_overflow_raises_on_write(spark, folder):
     )
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|cannot be represented"):
         overwrite_partitions(df, folder, "bronze", "items")
+
+
+def test_layers_are_created_once(spark, folder):
+    made = init_layers(spark, folder)
+    assert set(made) == set(LAYOUTS)
+    overwrite_partitions(views(spark, (1, "2024-01-01 01:00:00")), folder, "bronze", "pageviews")
+    assert init_layers(spark, folder) == []
+    assert read_layer(spark, folder, "bronze", "pageviews").count() == 1
+    empty = read_layer(spark, folder, "silver", "purchases_enriched")
+    assert empty.count() == 0 and empty.schema.names == LAYOUTS["silver.purchases_enriched"].schema.names
+
+
+def test_views(spark, folder):
+    overwrite_partitions(views(spark, (1, "2024-01-01 01:00:00"), (2, "2024-01-02 01:00:00")), folder, "bronze", "pageviews")
+    assert register_views(spark, folder, ["bronze.pageviews"]) == ["bronze_pageviews"]
+    df = spark.sql("select user_id from bronze_pageviews where received_at_day >= date'2024-01-02'")
+    assert rows(df) == [(2,)] and "PartitionFilters: [isnotnull(received_at_day" in plan(df)

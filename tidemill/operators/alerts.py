@@ -164,3 +164,20 @@ def relabel(df: DataFrame, rules: list[RelabelRule], raw: str = "raw") -> DataFr
         name = F.when(hit, metric) if name is None else name.when(hit, metric)
         labels = F.when(hit, entry) if labels is None else labels.when(hit, entry)
     return df.withColumns({"metric": name, "labels": labels}).where(F.col("metric").isNotNull())
+
+
+def fire(name: str, severity: str, runs: DataFrame, labels: list[str]) -> DataFrame:
+    """Alerts of one rule in a shape all rules share, so that they can be kept in one table.
+
+    ``runs`` comes from ``sustained``; its labels go into the map ``labels``.
+    """
+    pairs = [x for c in labels for x in (F.lit(c), F.col(c).cast("string"))]
+    return runs.select(
+        F.lit(name).alias("alert"),
+        F.lit(severity).alias("severity"),
+        (F.create_map(*pairs) if pairs else F.expr("cast(map() as map<string,string>)")).alias("labels"),
+        "active_at",
+        "fired_at",
+        "last_seen",
+        "samples",
+    )

@@ -14,7 +14,7 @@ from tidemill.plans.frames import CAMPAIGN, NOW
 from tidemill.schemas import LAYOUTS, PAGEVIEW_EVENT
 from tidemill.session import run_dir
 from tidemill.sinks import append, export_csv, overwrite_partitions, replace_table
-from tidemill.sources import quarantine_json, read_json_events, read_layer
+from tidemill.sources import quarantine_json, read_json_events, read_layer, register_views
 from tidemill.sources.events import ISO_MICROS
 
 _NOW = "timestamp '2024-01-31 00:00:00'"
@@ -552,3 +552,21 @@ def layer_scan_24h(shop: Shop) -> DataFrame:
     stored = read_layer(shop.spark, root, "silver", "purchases_enriched", with_partition=True)
     assert stored.columns[:-1] == LAYOUTS["silver.purchases_enriched"].schema.names
     return sales.sales_24h(stored, NOW)
+
+
+@query(
+    """select item_category, purchase_date, count(*) as purchases, cast(sum(total_price) as double) as revenue from (
+           select item_category, cast(purchase_date as varchar) as purchase_date, total_price from silver_purchases)
+       group by all""",
+    ("silver_purchases",),
+)
+def layer_sql(shop: Shop) -> DataFrame:
+    """An analyst's SQL over stored layer tables."""
+    root = run_dir(shop.spark, "sql")
+    replace_table(shop.purchases(), root, "silver", "purchases_enriched")
+    register_views(shop.spark, root, ["silver.purchases_enriched"])
+    return shop.spark.sql(
+        "select item_category, purchase_date, count(*) as purchases, sum(total_price) as revenue "
+        "from silver_purchases_enriched group by all"
+    )
+

@@ -133,6 +133,46 @@ def alert_sustained(shop: Shop) -> DataFrame:
     return alerts.sustained(shop.frame("metrics"), LABELS, "ts", F.col("gauge") > 4, hold=3_600)
 
 
+def _runs_sql(rule: str, severity: str, source: str, condition: str, hours: int) -> str:
+    return f"""
+        select '{rule}' as alert, '{severity}' as severity, series, cast(instance as varchar) as instance, s as active_at,
+               min(ts) filter (where ts >= s + interval {hours} hour) as fired_at, max(ts) as last_seen, count(*) as samples
+        from (select *, min(ts) over (partition by series, instance, g) as s from (
+              select *, count(*) filter (where not o) over (partition by series, instance order by ts) as g
+              from (select *, coalesce({condition}, false) as o from {source})) where o)
+        group by series, instance, g, s having max(ts) >= s + interval {hours} hour"""
+
+
+@query(
+    f"""with s as (select *, lag(counter) over (partition by series, instance order by ts) as b from metrics),
+             t as (select *, case when b is null then 0 when counter >= b then counter - b else counter end as step from s),
+             i as (select series, instance, ts, case when count(*) over w >= 2 then sum(step) over w - first(step) over w end as x
+                   from t window w as ({_W6}))
+        {_runs_sql("GrowthHigh", "warning", "i", "x > 20", 3)}
+        union all {_runs_sql("ValueHigh", "critical", "metrics", "gauge > 10", 1)}
+        union all {_runs_sql("HourlySumNotTwenty", "warning", "lag", "value <> 20", 48)}""",
+    ("metrics", "lag"),
+)
+def alert_table(shop: Shop) -> DataFrame:
+    """Three rules over different metrics, their alerts in one table: an increase, a gauge and an hourly sum."""
+    samples = shop.frame("metrics")
+    grown = series.increase(samples, LABELS, "ts", "counter", SIX_HOURS)
+    runs = [
+        ("GrowthHigh", "warning", alerts.sustained(grown, LABELS, "ts", F.col("increase") > 20, hold=10_800)),
+        ("ValueHigh", "critical", alerts.sustained(samples, LABELS, "ts", F.col("gauge") > 10, hold=3_600)),
+        (
+            "HourlySumNotTwenty", "warning",
+            alerts.sustained(shop.frame("lag"), LABELS, "ts", alerts.compare(F.col("value"), "!=", 20), hold=172_800),
+        ),
+    ]
+    table = None
+    for name, severity, found in runs:
+        rows = alerts.fire(name, severity, found, LABELS)
+        table = rows if table is None else table.unionByName(rows)
+    labels = [F.col("labels")[c].alias(c) for c in LABELS]
+    return table.select("alert", "severity", *labels, "active_at", "fired_at", "last_seen", "samples")
+
+
 @query(
     "select series, instance, ts, gauge from metrics where series <> 'error' and regexp_full_match(series, 'p.*|view') "
     "and instance = 1",

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.schemas import Layout, conform, layout
+from tidemill.schemas import LAYOUTS, Layout, conform, layout
 from tidemill.sources.tables import read_layer, table_path
 from tidemill.sources.versions import current, following, version_path
 
@@ -52,6 +52,17 @@ def _counted(df: DataFrame, name: str, path: str, column: str | None, mode: str,
     return RunReport(name, seen.get["rows"], path)
 
 
+def init_layers(spark: SparkSession, root: str, tables: list[str] | None = None) -> list[str]:
+    """Create the declared tables that do not exist yet, empty; existing ones are left as they are."""
+    made = []
+    for table in tables or list(LAYOUTS):
+        layer, _, name = table.partition(".")
+        if current(spark, table_path(root, layer, name)) is None:
+            replace_table(spark.createDataFrame([], layout(table).schema), root, layer, name)
+            made.append(table)
+    return made
+
+
 def overwrite_partitions(df: DataFrame, root: str, layer: str, name: str) -> RunReport:
     """Replace only the partitions that occur in ``df``; the others stay, and an empty input changes nothing.
 

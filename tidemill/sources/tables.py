@@ -42,6 +42,19 @@ def read_dimension(spark: SparkSession, root: str, layer: str, name: str, column
     return read_layer(spark, root, layer, name).select(*columns)
 
 
+def register_views(spark: SparkSession, root: str, tables: list[str]) -> list[str]:
+    """Make layer tables known to ``spark.sql``: ``silver.users`` becomes the view ``silver_users``.
+
+    Day columns are kept, so that a filter on them prunes folders.
+    """
+    names = []
+    for table in tables:
+        layer, _, name = table.partition(".")
+        read_layer(spark, root, layer, name, with_partition=True).createOrReplaceTempView(f"{layer}_{name}")
+        names.append(f"{layer}_{name}")
+    return names
+
+
 def pending(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not among the finished ones yet."""
     return df.join(done.select(key), key, "left_anti")

@@ -1,18 +1,20 @@
 """Keyword search with BM25, by scan or over a stored index of terms.
 
-Query words are few and known when the plan is built, so scoring a scan needs no explode, join or shuffle of texts: one
-pass gathers the corpus statistics, a second scores and keeps the top k.
+Query words are few and known when the plan is built, so a scan needs no explode, join or shuffle of texts: one pass over
+them keeps the word counts of the documents that match, as a small table in the shared folder, and observes the corpus
+statistics on the way. Scores then come from that table.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemill import fixed
 from tidemill.functions import tokens
+from tidemill.session import run_dir
 
 
 def query_terms(query: str) -> list[str]:
@@ -45,24 +47,27 @@ def keyword_search(
     terms = query_terms(query)
     if not terms:
         return docs.select(key, F.lit(0.0).alias("score")).limit(0)
+    spark, seen, folder = docs.sparkSession, Observation(), run_dir(docs.sparkSession, "search")
     cut = docs.select(key, tokens(F.col(text)).alias("w"))
     # Cut down to the query's words first: the counts per word then look at a few elements, not at the whole text.
     found = cut.select(key, F.size("w").alias("length"), F.filter("w", lambda word: word.isin(terms)).alias("hits"))
     words = found.select(key, "length", *[_occurrences("hits", t).alias(f"tf{i}") for i, t in enumerate(terms)])
-    totals = words.agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.avg("length").alias("mean"),
+    observed = words.observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.sum("length").alias("length"),
         *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
     )
-    scored = words.withColumn("s", totals.select(F.struct("*")).scalar())
+    observed.where(F.greatest(*[F.col(f"tf{i}") for i in range(len(terms))], F.lit(0)) > 0).write.parquet(folder)
+    stats = seen.get
+    n, mean = F.lit(float(stats["n"])), F.lit((stats["length"] or 0) / max(stats["n"], 1))
     score = F.lit(0.0)
     for i in range(len(terms)):
-        idf = _idf(F.col("s.n"), F.col(f"s.df{i}"))
-        score = score + _term_score(F.col(f"tf{i}"), idf, F.col("length"), F.col("s.mean"), k1, b)
-    best = scored.select(key, score.alias("score")).orderBy(F.col("score").desc(), key).limit(k)
-    # A document without any of the words scores 0 and sorts last. Dropping those after the limit keeps the filter from
-    # being pushed below the scoring, where it would cut the texts a second time.
-    return best.where(F.col("score") > 0)
+        idf = _idf(n, F.lit(stats[f"df{i}"]))
+        score = score + _term_score(F.col(f"tf{i}"), idf, F.col("length"), mean, k1, b)
+    schema = words.schema
+    hits = spark.read.schema(schema).parquet(folder)
+    return hits.select(key, score.alias("score")).orderBy(F.col("score").desc(), key).limit(k)
 
 
 def index_terms(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -182,6 +182,7 @@ def similar_approx(
     key: str = "vec_id",
     vector: str = "embedding",
     seed: int = 42,
+    iterations: int = 5,
     corpus_block: int = CORPUS_BLOCK,
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
@@ -193,7 +194,7 @@ def similar_approx(
     direction = Normalizer(inputCol="raw", outputCol="unit")
     usable = corpus.where(F.exists(F.col(vector), lambda x: x != 0))
     trained = direction.transform(usable.select(array_to_vector(F.col(vector).cast("array<double>")).alias("raw")))
-    model = KMeans(k=lists, seed=seed, featuresCol="unit").fit(trained)
+    model = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="unit").fit(trained)
     centres = np.asarray(model.clusterCenters())
     centres = centres / np.maximum(np.sqrt((centres * centres).sum(axis=1, keepdims=True)), 1e-300)
 

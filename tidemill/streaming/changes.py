@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.operators.changes import live, newest_change
+from tidemill.operators.changes import apply_changes, live, newest_change
 from tidemill.sources.changes import SEQ
 from tidemill.sources.versions import numbered
 from tidemill.streaming.runner import run_batches
@@ -30,27 +30,35 @@ def apply_stream(changes: DataFrame, root: str, checkpoint: str, key: str, seq:
     run_batches(changes, land, checkpoint)
 
 
-def _parts(spark: SparkSession, root: str) -> tuple[int, list[str]]:
-    """The newest base's number (-1 for none) and the folders that make up the table."""
+def _parts(spark: SparkSession, root: str) -> tuple[int, DataFrame | None, DataFrame | None]:
+    """The last batch number (-1 for none), the newest base, and the deltas it does not cover."""
     bases = numbered(spark, root, BASE)
     covered = bases[-1] if bases else -1
     deltas = [n for n in numbered(spark, root, DELTA) if n > covered]
-    folders = ([_folder(root, BASE, covered)] if bases else []) + [_folder(root, DELTA, n) for n in deltas]
-    return (deltas[-1] if deltas else covered), folders
+    base = spark.read.parquet(_folder(root, BASE, covered)) if bases else None
+    changes = spark.read.parquet(*[_folder(root, DELTA, n) for n in deltas]) if deltas else None
+    return (deltas[-1] if deltas else covered), base, changes
+
+
+def _merged(base: DataFrame | None, changes: DataFrame | None, key: str, seq: str) -> DataFrame:
+    """A base has one row per key already; few changes are applied to it without shuffling it."""
+    if changes is None:
+        return base
+    return newest_change(changes, key, seq) if base is None else apply_changes(base, changes, key, seq)
 
 
 def read_state(spark: SparkSession, root: str, key: str, seq: str = SEQ, with_deleted: bool = False) -> DataFrame:
     """The table's current rows."""
-    _, folders = _parts(spark, root)
-    if not folders:
+    _, base, changes = _parts(spark, root)
+    if base is None and changes is None:
         raise FileNotFoundError(f"no change has been applied under {root}")
-    state = newest_change(spark.read.parquet(*folders), key, seq)
+    state = _merged(base, changes, key, seq)
     return state if with_deleted else live(state)
 
 
 def fold(spark: SparkSession, root: str, key: str, seq: str = SEQ) -> int:
     """Write base and deltas as one new base, which covers the deltas up to the returned batch number."""
-    number, folders = _parts(spark, root)
-    if len(folders) > 1:
-        read_state(spark, root, key, seq, with_deleted=True).write.mode("overwrite").parquet(_folder(root, BASE, number))
+    number, base, changes = _parts(spark, root)
+    if changes is not None:
+        _merged(base, changes, key, seq).write.mode("overwrite").parquet(_folder(root, BASE, number))
     return number

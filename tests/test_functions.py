@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import ts
 from tidemill import functions as fn
-from tidemill.functions.clock import from_micros, last, micros
+from tidemill.functions.clock import from_micros, hour_start, last, micros
 from tidemill.schemas import LAYOUTS, conform, with_defaults
 
 
@@ -91,8 +91,12 @@ def test_clock_is_time_zone_free(spark):
         for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
             spark.conf.set("spark.sql.session.timeZone", zone)
             df = spark.range(1).select(fn.as_ntz(ts("2024-03-10 02:30:00.000123")).alias("t"))
-            row = df.select(micros(F.col("t")).alias("us"), from_micros(micros(F.col("t"))).alias("back")).first()
-            assert row["us"] == 1710037800000123
+            t = F.col("t")
+            row = df.select(
+                micros(t).alias("us"), from_micros(micros(t)).alias("back"), hour_start(t).alias("hour"), fn.day(t).alias("day"), F.hour(t).alias("h")
+            ).first()
+            assert row["us"] == 1710037800000123 and row["hour"] == ts("2024-03-10 02:00:00") and row["h"] == 2
+            assert str(row["day"]) == "2024-03-10"
             assert row["back"] == ts("2024-03-10 02:30:00.000123")
     finally:
         spark.conf.set("spark.sql.session.timeZone", keep)

@@ -14,7 +14,7 @@ from tidemill.functions.clock import last
 from tidemill.operators.maintenance import compact_if_ready
 from tidemill.schemas import LAYOUTS, PAGEVIEW_EVENT
 from tidemill.sinks import append, compact, export_csv, init_layers, jdbc_write_options, overwrite_partitions, replace_table
-from tidemill.sources import is_ready, jdbc_read_options, lookup, pending, quarantine_json, read_json_events, read_layer, register_views
+from tidemill.sources import is_ready, jdbc_read_options, lookup, pending, quarantine_json, read_dimension, read_json_events, read_layer, register_views
 from tidemill.sources.jdbc import KeyRange
 from tidemill.sources.versions import numbered
 
@@ -153,6 +153,7 @@ def test_layers_are_created_once(spark, folder):
     assert init_layers(spark, folder) == []
     assert read_layer(spark, folder, "bronze", "pageviews").count() == 1
     empty = read_layer(spark, folder, "silver", "purchases_enriched")
+    assert read_dimension(spark, folder, "silver", "users", ["id", "email"]).columns == ["id", "email"]
     assert empty.count() == 0 and empty.schema.names == LAYOUTS["silver.purchases_enriched"].schema.names
 
 

@@ -71,3 +71,9 @@ def micros(ts: Column) -> Column:
 def from_micros(us: Column) -> Column:
     """The zone-less timestamp of ``micros``."""
     return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=us.cast("decimal(18,0)") / 1_000_000)
+
+
+def hour_start(ts: Column) -> Column:
+    """The full hour a timestamp falls into, zone-less like its input."""
+    us = micros(ts)
+    return from_micros(us - F.pmod(us, F.lit(3_600_000_000)))

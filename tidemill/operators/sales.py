@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.clock import last
+from tidemill.functions.clock import hour_start, last
 
 _ITEM = ["item_id", "item_name", "item_category"]
 
@@ -61,7 +61,7 @@ def not_deleted(df: DataFrame) -> DataFrame:
 def hourly_volume(purchases: DataFrame, now: datetime, campaign_id: str | None = None) -> DataFrame:
     """Quantity sold per clock hour over the last 24 hours, without deleted purchases."""
     recent = of_campaign(not_deleted(last(purchases, "created_at", now, "24 hours")), campaign_id)
-    hourly = recent.groupBy(F.date_trunc("hour", F.col("created_at")).cast("timestamp_ntz").alias("hour"))
+    hourly = recent.groupBy(hour_start(F.col("created_at")).alias("hour"))
     return ordered(hourly.agg(F.sum("quantity").alias("total_sales")), "hour")
 
 

@@ -45,7 +45,7 @@ def fit_als(
     seed: int = fixed.ALS_SEED,
     blocks: int = 10,
 ) -> ALSModel:
-    """Train on (user_id, item_id, rating). Lineage is cut in the shared checkpoint folder every other iteration."""
+    """Train on (user_id, item_id, rating). Lineage is cut in the shared checkpoint folder every five iterations."""
     ensure_checkpoint_dir(train.sparkSession)
     als = ALS(
         rank=rank,
@@ -59,7 +59,7 @@ def fit_als(
         seed=seed,
         numUserBlocks=blocks,
         numItemBlocks=blocks,
-        checkpointInterval=2,
+        checkpointInterval=5,
     )
     return als.fit(train)
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, packing, token_counts
-from tidemill.llm.common import settle, table
+from tidemill.llm import decontaminate, language, packing, quality, token_counts, toxicity
+from tidemill.llm.common import held_out, settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -38,6 +38,30 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settle(spark)
+    docs = table(spark, sf_dir, "documents")
+    graded = toxicity.grade(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return graded.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "severity", "grade", "toxic")
+
+
+@query()
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settle(spark)
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.learn(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settle(spark)
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query()
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))

@@ -99,10 +99,14 @@ def sigmoid(v: float) -> float:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int = BITS) -> np.ndarray:
     """Weights, the intercept last. Features are made by the workers; the updates run over the bounded sample in one pass each."""
 
-    @F.pandas_udf("array<int>")
-    def hashed(texts: pd.Series) -> pd.Series:
-        hasher = Hasher(bits)
-        return pd.Series([hasher.features(t).astype(np.int32) for t in texts])
+    @F.pandas_udf("at binary, counts binary, n int")
+    def hashed(texts: pd.Series) -> pd.DataFrame:
+        hasher, rows = Hasher(bits), []
+        for t in texts:
+            f = hasher.features(t)
+            at, counts = np.unique(f, return_counts=True)
+            rows.append((at.astype(np.int32).tobytes(), counts.astype(np.int32).tobytes(), len(f)))
+        return pd.DataFrame(rows, columns=["at", "counts", "n"])
 
     sample = labelled_sample(docs, labels, label, PER_CLASS, MAX_CHARS)
     rows = sample.select("doc_id", "label", hashed("text").alias("f")).collect()
@@ -112,9 +116,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int
     share = {y: usual.get(y, 0) / max(1, sum(usual.values())) * len(rows) / max(1, found[y]) for y in (0, 1)}
     model, intercept = Ftrl(bits), 1 << bits
     points = []
-    for r in rows:
-        at, counts = np.unique(np.array(r.f, np.int64), return_counts=True)
-        points.append((np.append(at, intercept), np.append(counts * (SCALE / max(1, len(r.f))), 1.0), r.label))
+    for r in rows:  # numbers stay packed: the whole sample is a few million of them
+        at, counts = np.frombuffer(r.f.at, np.int32), np.frombuffer(r.f["counts"], np.int32)
+        points.append((np.append(at, intercept), np.append(counts * np.float32(SCALE / max(1, r.f.n)), np.float32(1)), r.label))
     for _ in range(EPOCHS):
         for at, x, y in points:
             model.update(at, x, y, share[y])

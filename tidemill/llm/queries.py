@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, language, packing, quality, token_counts, toxicity
+from tidemill.llm import decontaminate, language, packing, quality, shards, token_counts, toxicity
 from tidemill.llm.common import held_out, settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laid = shards.shard(table(spark, sf_dir, "documents"), shards=40)
+    return laid.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query()
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     settle(spark)

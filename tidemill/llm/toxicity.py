@@ -108,13 +108,14 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray, bits: int = BITS, grades: in
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = BITS) -> Ordinal:
     """The sample's features are made by the workers; the likelihood is minimised over the bounded sample."""
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def hashed(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.array([x for w in sorted(set(_WORDS(t.lower()))) for x in word_features(w, bits)], np.int32) for t in texts])
+        words = (sorted(set(_WORDS(t.lower()))) for t in texts)
+        return pd.Series([np.array([x for w in ws for x in word_features(w, bits)], np.int32).tobytes() for ws in words])
 
     rows = labelled_sample(docs, labels, label, PER_CLASS, MAX_CHARS).select("doc_id", "label", hashed("text").alias("f")).collect()
     rows.sort(key=lambda r: r.doc_id)
-    return fit([np.array(r.f, np.int64) for r in rows], np.array([r.label for r in rows]), bits)
+    return fit([np.frombuffer(r.f, np.int32) for r in rows], np.array([r.label for r in rows]), bits)
 
 
 def grade(docs: DataFrame, model: Ordinal, text_col: str = "text", bits: int = BITS) -> DataFrame:

@@ -107,8 +107,7 @@ def shard(
 ) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every row, for ``shards`` shards or leaves of ``target_bytes``.
 
-    The dimensions are the id and a checksum of each ``metadata`` column; the size is only weighed, as leaves of a few
-    long texts each could not be cut evenly. A table of a few numbers a row is written first
+    The dimensions are the id, the size and a checksum of each ``metadata`` column. A table of a few numbers a row is written first
     and with each level's nodes again; all passes run over it. Trees are meant for up to some ten thousand leaves: one split of each node comes to the driver.
     """
     settle(docs.sparkSession)
@@ -126,8 +125,8 @@ def shard(
         "_text_tie": F.pmod(F.xxhash64(F.coalesce("text_crc32", F.lit(-1))), F.lit(1 << TEXT_BITS)),
         "_row_tie": F.pmod(F.xxhash64("row"), F.lit(1 << ROW_BITS)),
     }
-    points = _keyed(slim.withColumns(ties), ["doc_id", *marks]).withColumn("_node", F.lit(0)).drop(*ties, *marks)
-    n_dims = 1 + len(marks)
+    points = _keyed(slim.withColumns(ties), ["doc_id", "size", *marks]).withColumn("_node", F.lit(0)).drop(*ties, *marks)
+    n_dims = 2 + len(marks)
     total = slim.agg(F.sum("size")).first()[0] or 0
     shards = shards or max(1, -(-total // (target_bytes or 1)))
     slack = TOLERANCE * total / shards

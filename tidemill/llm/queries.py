@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, language, packing, quality, shards, token_counts, toxicity
+from tidemill.llm import decontaminate, jaccard, language, packing, quality, shards, token_counts, topk, toxicity
 from tidemill.llm.common import held_out, settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,18 @@ def query(check: str | None = None):
     return register
 
 
+@query("""
+    with c as (select vec_id, unnest(embedding) as x, unnest(range(len(embedding))) as i from embeddings),
+    fine as (select vec_id from c group by vec_id having bool_and(x is not null and isfinite(x))),
+    q as (select vec_id, i, floor(64 * cast(x as double)) as x from c where vec_id in (select vec_id from fine)),
+    s as (select a.vec_id as query_id, b.vec_id, cast(sum(a.x * b.x) as bigint) as score from q a join q b on a.i = b.i
+          where a.vec_id % 20 = 0 and a.vec_id <> b.vec_id group by all)
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+    from s qualify rank <= 20""")
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     settle(spark)
@@ -71,3 +83,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))

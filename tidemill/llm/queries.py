@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, jaccard, language, packing, quality, shards, token_counts, topk, toxicity
+from tidemill.llm import decontaminate, html_extract, jaccard, language, packing, quality, shards, token_counts, topk, toxicity
 from tidemill.llm.common import held_out, settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query()
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query()
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))

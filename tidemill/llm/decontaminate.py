@@ -150,6 +150,7 @@ def contamination(
     items: DataFrame,
     text_col: str = "text",
     id_col: str = "item_id",
+    item_text_col: str = "text",
     window: int = WINDOW,
     pass_bytes: int = PASS_BYTES,
 ) -> DataFrame:
@@ -160,7 +161,7 @@ def contamination(
     between them.
     """
     spark = docs.sparkSession
-    patterns = windows(items, id_col, text_col, window)
+    patterns = windows(items, id_col, item_text_col, window)
     size = F.sum(F.length("pattern") + F.coalesce(F.length("item_id"), F.lit(0)))
     total = patterns.agg(size).first()[0] or 0
     passes = max(1, -(-total // pass_bytes))

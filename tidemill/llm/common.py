@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def columns(rows: list[tuple], names: list[str], numbers: set[str]) -> pd.DataFrame:
+    """Rows as a frame whose ``numbers`` are exact 64-bit integers even where some are missing."""
+    values = zip(*rows, strict=True) if rows else [()] * len(names)
+    return pd.DataFrame({n: pd.array(list(v), dtype="Int64") if n in numbers else pd.Series(list(v), dtype=object) for n, v in zip(names, values, strict=True)})
+
+
 def held_out(doc_id: Column) -> Column:
     """One fifth of the ids, never learned from; a row without an id is held out too."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))

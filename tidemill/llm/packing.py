@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import settle, written
+from tidemill.llm.common import columns, settle, written
 from tidemill.llm.tokens import default_path, tokenizer
 
 CAPACITY = 2048
@@ -78,10 +78,7 @@ class _Bins:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    df = pd.DataFrame(rows, columns=_NAMES)
-    for name in _NAMES[:-1]:
-        df[name] = df[name].astype("Int64")
-    return df
+    return columns(rows, _NAMES, set(_NAMES[:-1]))
 
 
 def _end_to_end(bins: _Bins, capacity: int) -> list[tuple]:

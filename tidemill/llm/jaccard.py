@@ -9,8 +9,8 @@ last: a sketch of all shingles' counts, of a fixed size whatever the data's, tel
 
 Lists are not expanded into all pairs. First each set of a list meets the list's smallest set; the links found give first
 components. Then only pairs of different components meet, so a list of copies of one text costs as many pairs as it has members. Pairs
-are tested against three exact bounds (sizes, places in the order, and a 512-bit parity sketch whose differing bits cannot outnumber
-the sets' differing shingles) before the sets themselves are compared. Every link between different components is found, which is
+are tested against three exact bounds (sizes, places in the order, and parity sketches whose differing bits cannot outnumber the
+sets' differing shingles) before the sets themselves are compared. Every link between different components is found, which is
 what the components need.
 
 Defined results: null or word-less texts have size 0, no links and their own id as component; texts of fewer than ``size`` words
@@ -31,19 +31,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import settle, written
+from tidemill.llm.common import columns, settle, written
 
 SIZE = 4
 NUM, DEN = 85, 100  # similarity at least NUM / DEN
 SLOT_BITS = 20
 CHUNKS = 64
-PARITY = 8  # longs
+PARITY, WIDE = 8, 64  # longs of a parity sketch; the wide one is made of sets of at least WIDE_FROM shingles
+WIDE_FROM = 1000
 MOST_LIGHT = 24
 FILTER_BITS = 24
 _CACHE = 250_000
 _KEPT = 50_000  # class keys that a task remembers, to give each out once
 
-_META = "doc_id long, n long, key long, parity array<bigint>, chunk int, counts binary"
+_META = "doc_id long, n long, key long, parity array<bigint>, wide array<bigint>, chunk int, counts binary"
 _INDEX = "key long, n int, tokens array<bigint>, places array<int>"
 
 
@@ -104,8 +105,8 @@ def key_of(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes()))))
 
 
-def parity_of(shingles: np.ndarray) -> np.ndarray:
-    bits = np.bincount((shingles & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+def parity_of(shingles: np.ndarray, longs: int = PARITY) -> np.ndarray:
+    bits = np.bincount((shingles & np.uint64(64 * longs - 1)).astype(np.int64), minlength=64 * longs) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -114,21 +115,22 @@ def _signatures(size: int):
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, names = Shingler(size), [c.split()[0] for c in _META.split(", ")]
+        numbers = {"doc_id", "n", "key", "chunk"}
         counts = np.zeros(1 << SLOT_BITS, np.int64)
         for part in parts:
             rows, held = [], []
             for doc, text in zip(part["doc_id"], part["text"], strict=True):
                 s = shingle(text)
                 doc = None if doc is None else int(doc)
-                rows.append((doc, len(s), key_of(s), parity_of(s), None, None) if len(s) else (doc, 0, None, None, None, None))
+                wide = parity_of(s, WIDE) if len(s) >= WIDE_FROM else None
+                rows.append((doc, len(s), key_of(s), parity_of(s), wide, None, None) if len(s) else (doc, 0, *[None] * 5))
                 held.append(s)
             if held:
                 slots = (np.concatenate(held) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
                 counts += np.bincount(slots, minlength=1 << SLOT_BITS)
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"doc_id": "Int64", "key": "Int64", "chunk": "Int64"})
-        chunks = [(None, None, None, None, i, zlib.compress(c.tobytes(), 1)) for i, c in enumerate(np.split(counts, CHUNKS))]
-        yield pd.DataFrame(chunks, columns=names).astype({"doc_id": "Int64", "n": "Int64", "key": "Int64"})
+            yield columns(rows, names, numbers)
+        chunks = [(*[None] * 5, i, zlib.compress(c.tobytes(), 1)) for i, c in enumerate(np.split(counts, CHUNKS))]
+        yield columns(chunks, names, numbers)
 
     return run
 
@@ -214,6 +216,14 @@ def _possible(a: str, b: str) -> Column:
     return near
 
 
+def _possible_wide(a: str, b: str) -> Column:
+    """The same by the wide sketches, for pairs of large sets; those of the small one fill up."""
+    n_a, n_b = F.col(f"{a}n"), F.col(f"{b}n")
+    bits = F.zip_with(f"{a}wide", f"{b}wide", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differing = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    return F.coalesce(differing <= n_a + n_b - 2 * _least(n_a, n_b), F.lit(True))
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(key, shingles binary) of the classes in ``wanted`` (key, doc_id).
 
@@ -291,9 +301,11 @@ def components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     named = docs.select(F.col("doc_id").cast("string"), "text")  # pandas has no long column with nulls
     meta = written(named.mapInPandas(_signatures(size), _META), "sets")
-    rows = meta.where(F.col("chunk").isNull()).select("doc_id", "n", "key", "parity")
+    rows = meta.where(F.col("chunk").isNull()).select("doc_id", "n", "key", "parity", "wide")
     classes = written(
-        rows.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parity").alias("parity")),
+        rows.where(F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "parity", "wide")]),
         "classes",
     )
 
@@ -310,9 +322,9 @@ def components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     lists = index.groupBy("token").agg(F.min("key").alias("pivot"), F.max("key").alias("last")).where("pivot <> last").select("token", "pivot")
     shared = written(index.join(lists, "token"), "lists")
     known = classes.select("key", "n", "parity")
-    a, b = (known.toDF(s, f"{s}n", f"{s}parity") for s in ("a", "b"))
+    a, b = (classes.select("key", "n", "parity", "wide").toDF(s, f"{s}n", f"{s}parity", f"{s}wide") for s in ("a", "b"))
     pivots = shared.where("key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct()
-    pivots = pivots.join(a, "a").join(b, "b").where(_possible("a", "b")).select("a", "b")
+    pivots = pivots.join(a, "a").join(b, "b").where(_possible("a", "b") & _possible_wide("a", "b")).select("a", "b")
     first = _verified(written(pivots, "pairs"), docs, classes, size)
 
     # Members of different components meet each other.
@@ -326,7 +338,8 @@ def components(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         F.least("aplace", "bplace") + 1 + F.least(F.col("an") - F.col("aplace") - 1, F.col("bn") - F.col("bplace") - 1),
     ).otherwise(F.least("an", "bn"))
     meet = left.join(right, "token").where((F.col("alabel") < F.col("blabel")) & (ahead >= _least(F.col("an"), F.col("bn"))) & _possible("a", "b"))
-    second = _verified(written(meet.select("a", "b").distinct(), "pairs"), docs, classes, size)
+    pairs = meet.select("a", "b").distinct().join(a, "a").join(b, "b").where(_possible_wide("a", "b")).select("a", "b")
+    second = _verified(written(pairs, "pairs"), docs, classes, size)
 
     joined = roots(first.union(second))
     grouped = joined.union(joined.select("root", "root").distinct()).toDF("key", "root").join(classes.select("key", "doc_id"), "key")

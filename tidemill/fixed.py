@@ -28,16 +28,15 @@ RECOMMENDATIONS_PER_USER = 10
 
 # Vector search
 EMBEDDING_SIZE = 384
-SIMILAR_DEFAULT, SIMILAR_MAX = 5, 20
+SIMILAR_DEFAULT = 5
 
 # Keyword search: the usual BM25 constants
 BM25_K1, BM25_B = 1.2, 0.75
 
 # Metric alerts
 LAG_BOUND = 5000
-SAMPLE_SPACING_SECONDS = 15
 
-# Quality report
+# Segment export
 CSV_SEGMENT_HEADER = [
     "user_id",
     "email",

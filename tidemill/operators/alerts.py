@@ -148,15 +148,15 @@ def _template(raw: Column, pattern: str, text: str) -> Column:
     return F.concat(*pieces) if pieces else F.lit("")
 
 
-def relabel(df: DataFrame, rules: list[RelabelRule], raw: str = "raw") -> DataFrame:
+def relabel(df: DataFrame, rules: list[RelabelRule], raw: str = "raw", anchored: bool = False) -> DataFrame:
     """Turn raw metric names into a name and labels by the first rule that matches; rows without a rule are dropped.
 
-    Adds ``metric`` (lower case) and the map ``labels`` (names in lower case, values as they are).
+    A pattern may match anywhere in the raw name, or must match all of it if ``anchored``. Adds ``metric`` (lower case) and the map ``labels`` (names in lower case, values as they are).
     """
     source = F.col(raw)
     name, labels = None, None
     for rule in rules:
-        whole = f"^(?:{rule.pattern})$"
+        whole = f"^(?:{rule.pattern})$" if anchored else rule.pattern
         hit = source.rlike(whole)
         metric = F.lower(_template(source, whole, rule.name))
         pairs = [x for key, text in rule.labels for x in (F.lit(key.lower()), _template(source, whole, text))]

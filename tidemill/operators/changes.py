@@ -15,8 +15,6 @@ from tidemill.functions import as_ntz
 from tidemill.operators.dedup import newest_first, top_per_key
 from tidemill.sources.changes import DELETE, OP, SEQ
 
-SMALL_BATCH = 200_000
-
 
 def newest_change(changes: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
     """The change with the highest sequence per key, deletes included. Reduced inside the map tasks first."""
@@ -33,21 +31,22 @@ def latest_state(changes: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
     return live(newest_change(changes, key, seq))
 
 
-def apply_changes(state: DataFrame, changes: DataFrame, key: str, seq: str = SEQ, small: int = SMALL_BATCH) -> DataFrame:
-    """The state after a batch of changes, in any order and with repeats.
+def apply_changes(state: DataFrame, changes: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
+    """The state, one row per key, after a batch of changes in any order and with repeats.
 
-    A batch counted to touch at most ``small`` keys is broadcast, as keys and sequences only, and the state is filtered
-    where it lies. A larger one is put to the state and both are reduced to the newest row per key, in one shuffle.
+    A change replaces the state's row unless that has a higher sequence: on equal sequences the change wins, a missing
+    sequence is below all others, and rows without a key share one. The batch is reduced to a row per key first; only keys
+    and sequences of it meet the state, so Spark filters the state where it lies as long as those fit its broadcast
+    threshold, and shuffles both beyond.
     """
     batch = newest_change(changes, key, seq).select(*state.columns)
-    if batch.select(key).limit(small + 1).count() > small:
-        return newest_change(state.unionByName(batch), key, seq)
-    marks = F.broadcast(batch.select(F.col(key).alias("__key"), F.col(seq).alias("__seq")))
-    same = F.col(key) == F.col("__key")
-    kept = state.join(marks, same & (F.col("__seq") >= F.col(seq)), "left_anti")
+    marks = batch.select(F.col(key).alias("__key"), F.col(seq).alias("__seq"))
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    replaced = F.col(seq).isNull() | F.coalesce(F.col("__seq") >= F.col(seq), F.lit(False))
+    kept = state.join(marks, same & replaced, "left_anti")
     # Keys of the state that are ahead of the batch: no more than the batch has.
-    ahead = state.join(marks, same & (F.col("__seq") < F.col(seq)), "left_semi").select(F.col(key).alias("__key"))
-    return kept.unionByName(batch.join(F.broadcast(ahead), same, "left_anti"))
+    ahead = state.join(marks, same & ~replaced, "left_semi").select(F.col(key).alias("__key"))
+    return kept.unionByName(batch.join(ahead, same, "left_anti"))
 
 
 def as_of(history: DataFrame, key: str, at: datetime, ts: str = "ts", seq: str = SEQ) -> DataFrame:

@@ -43,10 +43,14 @@ def fit_als(
     iterations: int = fixed.ALS_ITERATIONS,
     reg: float = fixed.ALS_REG,
     seed: int = fixed.ALS_SEED,
-    blocks: int = 10,
+    blocks: int | None = None,
 ) -> ALSModel:
-    """Train on (user_id, item_id, rating). Lineage is cut in the shared checkpoint folder every five iterations."""
+    """Train on (user_id, item_id, rating). Lineage is cut in the shared checkpoint folder every five iterations.
+
+    Users and items are cut into as many blocks as the session shuffles into, so blocks do not grow with the data.
+    """
     ensure_checkpoint_dir(train.sparkSession)
+    blocks = blocks or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     als = ALS(
         rank=rank,
         maxIter=iterations,

@@ -155,11 +155,12 @@ def similar(
 ) -> DataFrame:
     """The k nearest vectors of ``corpus`` for each row (query_id, vector) of ``queries``: (query_id, key, distance).
 
-    Up to ``BROADCAST_QUERIES`` queries - counted, not assumed - are shipped to the corpus, which then is not shuffled.
+    Queries without an id are left out. Up to ``BROADCAST_QUERIES`` queries - counted, not assumed - are shipped to the corpus, which then is not shuffled.
     More are dealt out in blocks.
     """
-    if not 1 <= k <= fixed.SIMILAR_MAX:
-        raise ValueError(f"k must be 1..{fixed.SIMILAR_MAX}")
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    queries = queries.where(F.col(QUERY).isNotNull())
     schema = _result_schema(queries, corpus, key)
     few = queries.select(QUERY, vector).limit(BROADCAST_QUERIES + 1).collect()
     if len(few) <= BROADCAST_QUERIES:

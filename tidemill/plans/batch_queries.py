@@ -150,14 +150,20 @@ def sales_24h(shop: Shop) -> DataFrame:
     return sales.sales_24h(shop.purchases(), NOW)
 
 
+# Pairs counted as the operator defines them: per item, user and day, every view meets every purchase; a view that meets none
+# still counts once.
 _FUNNEL = """
-    with j as (select v.item_id, v.item_name, v.item_category, v.user_id as viewer, pe.id as pid, pe.user_id as buyer
-               from silver_views v left join silver_purchases pe
-               on v.item_id = pe.item_id and v.user_id = pe.user_id and cast(v.received_at as date) = pe.purchase_date)
-    select item_id, item_name, item_category, count(distinct viewer) as unique_pageview_users,
-           count(distinct buyer) as unique_purchase_users, count(pid) as total_purchases, count(viewer) as total_pageviews,
-           round(coalesce(count(pid) / nullif(count(viewer), 0), 0), 6) as conversion_rate
-    from j group by all"""
+    with seen as (select item_id, item_name, item_category, user_id, cast(received_at as date) as day, count(*) as views
+                  from silver_views group by all),
+         bought as (select item_id, user_id, purchase_date as day, count(*) as purchases from silver_purchases group by all),
+         met as (select seen.*, coalesce(purchases, 0) as purchases
+                 from seen left join bought on seen.item_id = bought.item_id and seen.user_id = bought.user_id and seen.day = bought.day),
+         rates as (select item_id, item_name, item_category, count(distinct user_id) as unique_pageview_users,
+                          count(distinct user_id) filter (purchases > 0) as unique_purchase_users,
+                          cast(sum(views * purchases) as bigint) as total_purchases,
+                          cast(sum(views * greatest(purchases, 1)) as bigint) as total_pageviews
+                   from met group by all)
+    select *, round(total_purchases / total_pageviews, 6) as conversion_rate from rates"""
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -165,7 +171,7 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 @query(
-    _FUNNEL + " order by coalesce(count(pid) / nullif(count(viewer), 0), 0) desc, item_id limit 10",
+    _FUNNEL + " order by total_purchases / total_pageviews desc, item_id limit 10",
     ("silver_views", "silver_purchases"),
 )
 def top_converting_items(shop: Shop) -> DataFrame:
@@ -280,16 +286,20 @@ def join_live(shop: Shop) -> DataFrame:
 
 # Engagement -----------------------------------------------------------------------------------------------------------
 
-_ENGAGED = """
-    with seen as (select user_id, count(page) as n, count(distinct cast(received_at as date)) as days,
-                         max(cast(received_at as date)) as last_day from silver_views group by user_id),
-         a as (select u.id as user_id, email, full_name, coalesce(n, 0) as total_pageviews, coalesce(days, 0) as active_days,
-                      cast(last_day as varchar) as last_active_date,
+# Activity counted per day first; the limits are the operator's.
+_ENGAGED = f"""
+    with daily as (select user_id, cast(received_at as date) as day, count(*) as views from silver_views group by all),
+         active as (select user_id, sum(views) as views, count(*) as days, max(day) as last_day from daily group by all),
+         a as (select u.id as user_id, email, full_name, cast(coalesce(views, 0) as bigint) as total_pageviews,
+                      coalesce(days, 0) as active_days, cast(last_day as varchar) as last_active_date,
                       cast(date '2024-01-31' - last_day as int) as days_since_last_active
-               from silver_users u left join seen on seen.user_id = u.id where u.valid_email)
-    select a.*, if(total_pageviews > 49 and days_since_last_active < 4, 'high_engagement',
-                   if(total_pageviews in (select unnest(range(10, 50))) and days_since_last_active < 8, 'medium_engagement',
-                      'low_engagement')) as engagement_segment from a"""
+               from silver_users u left join active on active.user_id = u.id where u.valid_email)
+    select a.*,
+           case when total_pageviews >= {fixed.HIGH_MIN_VIEWS} and days_since_last_active <= {fixed.HIGH_MAX_DAYS} then '{fixed.HIGH}'
+                when total_pageviews between {fixed.MEDIUM_MIN_VIEWS} and {fixed.MEDIUM_MAX_VIEWS}
+                     and days_since_last_active <= {fixed.MEDIUM_MAX_DAYS} then '{fixed.MEDIUM}'
+                else '{fixed.LOW}' end as engagement_segment
+    from a"""
 
 
 @query(_ENGAGED, ("silver_users", "silver_views"))

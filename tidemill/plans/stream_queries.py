@@ -17,17 +17,12 @@ _ALERTS = """
            date_trunc('day', ts) + interval 1 day as window_end, count(*) as login_count,
            count(distinct device) as distinct_devices, 'SUSPICIOUS_MULTI_DEVICE' as alert_type
     from (select *, strptime(login_ts, '%Y-%m-%d %H:%M:%S.%g') as ts from logins) l
-    left join (select * from silver_users where valid_email) u on l.user_id = u.id
+    left join silver_users u on l.user_id = u.id
     group by l.user_id, u.email, date_trunc('day', ts) having count(*) > 5 and count(distinct device) > 2"""
 _ENRICHED = """
     select l.user_id, u.email as user_email, u.first_name || ' ' || u.last_name as full_name, login_ts, ip_address, device,
            is_success
-    from logins l left join (select * from silver_users where valid_email) u on l.user_id = u.id"""
-
-
-def _reachable_users(shop: Shop) -> DataFrame:
-    """The profiles a lookup finds: users with a valid address. The logins of all others stay unmatched."""
-    return shop.users().where("valid_email")
+    from logins l left join silver_users u on l.user_id = u.id"""
 
 
 def _event_stream(spark: SparkSession, sf_dir: str, closing: bool = False) -> DataFrame:
@@ -57,7 +52,7 @@ class _Run:
 
 @query(_ENRICHED, ("logins", "silver_users"))
 def login_enriched(shop: Shop) -> DataFrame:
-    return logins.enrich_logins(shop.frame("logins"), _reachable_users(shop))
+    return logins.enrich_logins(shop.frame("logins"), shop.users())
 
 
 @query(_ENRICHED, ("logins", "silver_users"))
@@ -71,7 +66,7 @@ def login_enriched_stream(shop: Shop) -> DataFrame:
 
 @query(_ALERTS, ("logins", "silver_users"))
 def login_alerts(shop: Shop) -> DataFrame:
-    return logins.login_alerts(shop.frame("logins"), _reachable_users(shop), window="1 day")
+    return logins.login_alerts(shop.frame("logins"), shop.users(), window="1 day")
 
 
 @query(_ALERTS, ("logins", "silver_users"))

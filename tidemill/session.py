@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,22 +46,15 @@ def build_session(name: str = "tidemill", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-@functools.lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tidemill-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a single-machine session may fall back to a temporary folder; on a cluster a missing setting is an error.
+    Without that setting it is a folder in the warehouse, which executors share too.
     """
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    return _local_folder()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:
@@ -77,12 +68,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
-    """A sibling session for streams: UTC, so that event times survive the TIMESTAMP round trip, and on-disk state."""
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A sibling session for streams: UTC, so that event times survive the TIMESTAMP round trip, and on-disk state.
+
+    Stateful steps keep the number of partitions of their first run: the session's, unless ``state_partitions`` names another.
+    """
     sibling = tune(spark.newSession())
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
     sibling.conf.set(STATE_STORE_KEY, ROCKSDB_STATE_STORE)
-    # Stateful steps are not re-planned at run time, so their partitions are kept near the number of cores.
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sibling.conf.set("spark.sql.shuffle.partitions", str(min(wanted, 2 * spark.sparkContext.defaultParallelism)))
+    partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
+    sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return sibling

@@ -68,9 +68,11 @@ def test_many_queries_are_dealt_in_blocks(corpus, monkeypatch):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_k_is_bounded(corpus):
+def test_k_is_positive_and_has_no_upper_limit(corpus):
+    matrix, df = corpus
     with pytest.raises(ValueError, match="k must be"):
-        vectors.similar(as_queries(corpus[1]), corpus[1], k=21)
+        vectors.similar(as_queries(df), df, k=0)
+    same(found(vectors.similar(as_queries(df), df, k=25)), by_hand(matrix, range(300), 25))
 
 
 def test_all_cells_probed_is_exact_and_few_cells_mostly_right(corpus):

@@ -114,18 +114,38 @@ def test_latest_state(spark):
     assert "WindowGroupLimit" in plan(latest)
 
 
-@pytest.mark.parametrize("small", [5, 200_000])
+@pytest.mark.parametrize("threshold", ["-1", "10m"])  # the state is shuffled, or filtered where it lies
 @pytest.mark.parametrize("order", ["forward", "backward", "mixed"])
-def test_apply_in_any_order_and_twice(spark, order, small):
+def test_apply_in_any_order_and_twice(spark, order, threshold):
     data, df = make_changes(spark)
     cuts = {"forward": [0, 150, 250, 400], "backward": [250, 400, 0, 250], "mixed": [100, 300, 0, 400]}[order]
     batches = [df.where(f"seq >= {a} and seq < {b}") for a, b in zip(cuts[::2], cuts[1::2])]
     if order == "forward":
         batches = [df.where("seq < 150"), df.where("seq >= 150 and seq < 250"), df.where("seq >= 250"), df.where("seq >= 150")]
-    state = cdc.newest_change(batches[0], "id")
-    for batch in batches[1:]:
-        state = cdc.apply_changes(state, batch, "id", small=small)
-    assert rows(cdc.live(state)) == final(data)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        state = cdc.newest_change(batches[0], "id")
+        for batch in batches[1:]:
+            state = cdc.apply_changes(state, batch, "id")
+        assert rows(cdc.live(state)) == final(data)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_apply_with_ties_and_missing_keys_or_sequences(spark, threshold):
+    shape = "seq bigint, id bigint, v int"
+    state = spark.createDataFrame([(5, 1, 10), (7, 2, 20), (None, 3, 30), (1, None, 40), (9, 4, 50)], shape)
+    batch = spark.createDataFrame([(5, 1, 3), (None, 2, 21), (None, 3, 31), (2, None, 41), (3, None, 42), (8, 4, 51), (1, 5, 60)], shape)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = {r.id: (r.seq, r.v) for r in cdc.apply_changes(state, batch, "id").collect()}
+        assert cdc.apply_changes(state, batch, "id").count() == len(got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert got == {1: (5, 3), 2: (7, 20), 3: (None, 31), None: (3, 42), 4: (9, 50), 5: (1, 60)}
 
 
 def test_small_batch_does_not_shuffle_the_state(spark, folder):

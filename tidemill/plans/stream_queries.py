@@ -60,7 +60,7 @@ def login_enriched_stream(shop: Shop) -> DataFrame:
     run = _Run(shop, "enriched")
     events = derive(run.spark, "logins", {"events": _event_stream(run.spark, shop.sf_dir)})
     inner = Shop(run.spark, shop.sf_dir)
-    runner.run_append(logins.enrich_logins(events, _reachable_users(inner)), run.out, run.checkpoint)
+    runner.run_append(logins.enrich_logins(events, inner.users()), run.out, run.checkpoint)
     return shop.spark.read.parquet(run.out)
 
 
@@ -74,7 +74,7 @@ def login_alerts_stream(shop: Shop) -> DataFrame:
     run = _Run(shop, "alerts")
     events = derive(run.spark, "logins", {"events": _event_stream(run.spark, shop.sf_dir, closing=True)})
     inner = Shop(run.spark, shop.sf_dir)
-    alerts = logins.login_alerts(events, _reachable_users(inner), window="1 day")
+    alerts = logins.login_alerts(events, inner.users(), window="1 day")
     runner.run_append(alerts, run.out, run.checkpoint)
     return shop.spark.read.parquet(run.out)
 

@@ -169,5 +169,8 @@ def test_lag_growing(spark):
 def test_relabel(spark):
     rules = [RelabelRule(r"a<t=(\w+)><>Value", "A_$1"), RelabelRule(r"a<t=(\w+)><>(Rate|Value)", "x_$2_y", (("Kind", "$1"),))]
     df = spark.createDataFrame([("a<t=One><>Value",), ("a<t=Two><>Rate",), ("xa<t=Two><>Rate",)], "raw string")
+    whole = {"a<t=One><>Value": ("a_one", {}), "a<t=Two><>Rate": ("x_rate_y", {"kind": "Two"})}
+    got = {r.raw: (r.metric, r.labels) for r in alerts.relabel(df, rules, anchored=True).collect()}
+    assert got == whole
     got = {r.raw: (r.metric, r.labels) for r in alerts.relabel(df, rules).collect()}
-    assert got == {"a<t=One><>Value": ("a_one", {}), "a<t=Two><>Rate": ("x_rate_y", {"kind": "Two"})}
+    assert got == whole | {"xa<t=Two><>Rate": ("x_rate_y", {"kind": "Two"})}

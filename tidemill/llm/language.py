@@ -70,7 +70,7 @@ def automaton(text: np.ndarray, letters: int) -> np.ndarray:
 
 
 class Automata:
-    """All languages' automata as one step table: entry [place + letter] is 2 * next place + (1 if a phrase ended)."""
+    """All languages' automata as one step table: entry [place + letter] is 2 * next place + (1 if the letter begins a phrase)."""
 
     def __init__(self, samples: dict[str, str], alphabet: int = ALPHABET) -> None:
         self.names = sorted(samples)
@@ -87,7 +87,9 @@ class Automata:
             hit = steps >= 0
             fresh = np.where(root >= 0, root, 0)  # after a miss the letter begins the next phrase, if it is known at all
             place = offset + np.where(hit, steps, fresh[None, :]) * self.width
-            tables.append((place * 2 + ~hit).astype(np.int32).ravel())
+            begins = ~hit
+            begins[0] = True  # at the root no phrase is open, so any letter begins one
+            tables.append((place * 2 + begins).astype(np.int32).ravel())
             self.roots.append(offset)
             offset += steps.size
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
@@ -109,7 +111,7 @@ class Automata:
         begin, length = begin[order], length[order]
         active = np.searchsorted(-length, -np.arange(LANE), side="left")  # lanes longer than t
         state = np.tile(np.array(self.roots, np.int32), (len(order), 1))
-        count = np.ones((len(order), len(self.names)), np.int32)
+        count = np.zeros((len(order), len(self.names)), np.int32)
         for t in range(int(length[0]) if len(length) else 0):
             n = active[t]
             step = self.table[state[:n] + codes[begin[:n] + t][:, None]]

@@ -58,6 +58,27 @@ def test_phrases_are_longest_matches():
     assert automata.phrases([long])[0].tolist() == [sum(naive_phrases(x, samples[k]) for x in lanes) for k in automata.names]
 
 
+def test_rare_scripts_are_told_apart():
+    rng = random.Random(8)
+    scripts = {"en": range(97, 123), "ru": range(0x430, 0x450), "el": range(0x3B1, 0x3CA), "ja": range(0x3041, 0x3097), "ko": range(0xAC00, 0xAC00 + 900)}
+    words = {k: ["".join(chr(rng.choice(cs)) for _ in range(rng.randint(2, 5))) for _ in range(80)] for k, cs in scripts.items()}
+    words["zh"] = ["".join(chr(rng.choice(range(0x4E00, 0x4E00 + 900))) for _ in range(rng.randint(2, 5))) for _ in range(80)]
+    words["zz"] = [w[::-1] for w in words["zh"]]  # the same letters in another order
+    samples = {k: " ".join(rng.choices(ws, k=2500 if k == "en" else 400)) for k, ws in words.items()}
+    texts = {k: " ".join(rng.choices(ws, k=60)) for k, ws in words.items()}
+    for cells in (language.CELLS, 200_000, 0):  # tables, both, lists
+        automata = language.Automata(samples, cells)
+        counts = automata.phrases(list(texts.values()))
+        assert counts.tolist() == [[naive_phrases(t, samples[k]) for k in automata.names] for t in texts.values()]
+        assert [automata.names[i] for i in counts.argmin(1)] == list(texts)
+
+
+def test_sample_bound_is_of_each_language(spark):
+    rows = [(i, "abc " * 1000, f"l{i % 9}") for i in range(900)]
+    samples = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(samples) == 9 and {len(t) for t in samples.values()} == {language.LANG_CHARS}
+
+
 def test_language(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = queries.op7_language(spark, SF).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()

@@ -3,7 +3,9 @@
 For each labelled language one suffix automaton holds all substrings of a sample of its texts. A text is parsed with it greedily:
 the longest match from where the last one ended is a phrase, a letter the automaton does not know is a phrase by itself. The
 language that needs the fewest phrases for a letter wins, ties go to the smaller name. The automata are learned once, from a
-bounded sample (``SAMPLE_CHARS`` in all, shared by the languages), and sent to the workers as arrays.
+bounded sample (``SAMPLE_CHARS`` shared by the languages, but ``LANG_CHARS`` for each of them at least). Every letter of a sample is told from every other one, in any script; only what
+is no letter is one symbol. Automata are step tables over their own language's letters as far as ``CELLS`` goes, those of the fewest
+letters first; the others are sorted lists of their steps, so thousands of letters cost no more than the sample has.
 
 Whole texts are parsed. To parse many letters at once with array operations, a text is cut into lanes of ``LANE`` letters that are
 parsed side by side, for all languages alike; a phrase ends at a lane's end.
@@ -27,16 +29,17 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import held_out
 
 UNKNOWN = "und"
-SAMPLE_CHARS = 120_000
+SAMPLE_CHARS = 120_000  # shared by the languages
+LANG_CHARS = 30_000  # of each language, however many there are
 SAMPLE_TEXTS = 64  # texts of a language, at most
 TEXT_CHARS = 20_000  # longer texts are not learned from
-ALPHABET = 62  # most frequent letters of the sample; any other letter matches none
+CELLS = 24_000_000  # of all step tables together
 LANE = 1024
 _LETTER = re.compile(r"[^\W\d_]").search
 
 
-def automaton(text: np.ndarray, letters: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``text`` (letters as numbers): [state, letter] -> state, or -1."""
+def automaton(text: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of ``text`` (letters as numbers): of each state, letter -> state."""
     nxt: list[dict[int, int]] = [{}]
     link, size, last = [-1], [0], 0
     for c in text.tolist():
@@ -62,36 +65,51 @@ def automaton(text: np.ndarray, letters: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[now] = twin
         last = now
-    rows = np.full((len(nxt), letters), -1, np.int32)
-    for state, steps in enumerate(nxt):
-        if steps:
-            rows[state, list(steps)] = list(steps.values())
-    return rows
+    return nxt
 
 
 class Automata:
-    """All languages' automata as one step table: entry [place + letter] is 2 * next place + (1 if the letter begins a phrase)."""
+    """All languages' automata: a step is 2 * next place + (1 if the letter begins a phrase), a place is a state's first cell.
 
-    def __init__(self, samples: dict[str, str], alphabet: int = ALPHABET) -> None:
+    A letter has one number for all languages and, in ``local``, one for each of them: its own letters come first, the last number
+    is any letter it does not have. Languages in ``dense`` have their steps in ``table`` at [place + number]; those in ``sparse``
+    have sorted cells, their steps, and the steps of a miss by number.
+    """
+
+    def __init__(self, samples: dict[str, str], cells: int = CELLS) -> None:
         self.names = sorted(samples)
-        counts = Counter("".join(samples.values()))
-        known = sorted((c for c in counts if _LETTER(c)), key=lambda c: (-counts[c], c))[:alphabet]
-        self.classes = np.fromiter((c.isalpha() for c in map(chr, range(0x110000))), np.uint8, 0x110000)
-        for i, c in enumerate(known):  # 0 no letter, 1 unknown letter, 2.. known ones
+        known = sorted(c for c in set("".join(samples.values())) if c.isalpha())
+        self.classes = np.fromiter((c.isalpha() for c in map(chr, range(0x110000))), np.int32, 0x110000)
+        for i, c in enumerate(known):  # 0 no letter, 1 a letter of no sample, 2.. letters of samples
             self.classes[ord(c)] = 2 + i
-        self.width = 2 + len(known)
-        tables, offset, self.roots = [], 0, []
-        for name in self.names:
-            steps = automaton(self.number(samples[name]), self.width)
-            root = steps[0]
-            hit = steps >= 0
-            fresh = np.where(root >= 0, root, 0)  # after a miss the letter begins the next phrase, if it is known at all
-            place = offset + np.where(hit, steps, fresh[None, :]) * self.width
-            begins = ~hit
-            begins[0] = True  # at the root no phrase is open, so any letter begins one
-            tables.append((place * 2 + begins).astype(np.int32).ravel())
-            self.roots.append(offset)
-            offset += steps.size
+        self.local = np.zeros((2 + len(known), len(self.names)), np.int32)
+        learned = []
+        for lang, name in enumerate(self.names):
+            text = self.number(samples[name])
+            own = np.unique(text)
+            self.local[:, lang] = len(own)
+            self.local[own, lang] = np.arange(len(own))
+            learned.append((len(own) + 1, automaton(self.local[text, lang])))
+        self.dense, self.sparse = [], []
+        tables, offset = [], 0
+        self.roots = np.zeros(len(self.names), np.int64)
+        for lang in sorted(range(len(learned)), key=lambda i: (learned[i][0] * len(learned[i][1]), i)):
+            width, states = learned[lang]
+            at = np.array([state * width + c for state, steps in enumerate(states) for c in steps], np.int64)
+            to = np.array([after for steps in states for after in steps.values()], np.int64)
+            missed = np.ones(width, np.int64)  # after a miss the letter begins the next phrase, if it is known at all
+            missed[list(states[0])] = np.array(list(states[0].values()), np.int64) * width * 2 + 1
+            if offset + width * len(states) <= cells:
+                self.dense.append(lang)
+                steps = np.tile((missed + 2 * offset).astype(np.int32), len(states))
+                inner = at >= width  # at the root no phrase is open, so any letter begins one
+                steps[at[inner]] = (offset + to[inner] * width) * 2
+                tables.append(steps)
+                self.roots[lang] = offset
+                offset += len(steps)
+            else:
+                order = np.argsort(at)
+                self.sparse.append((lang, at[order], to[order] * width * 2 + (at[order] < width), missed))
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
 
     def number(self, text: str) -> np.ndarray:
@@ -110,20 +128,38 @@ class Automata:
         order = np.argsort(-length, kind="stable")
         begin, length = begin[order], length[order]
         active = np.searchsorted(-length, -np.arange(LANE), side="left")  # lanes longer than t
-        state = np.tile(np.array(self.roots, np.int32), (len(order), 1))
+        longest = int(length[0]) if len(length) else 0
         count = np.zeros((len(order), len(self.names)), np.int32)
-        for t in range(int(length[0]) if len(length) else 0):
-            n = active[t]
-            step = self.table[state[:n] + codes[begin[:n] + t][:, None]]
-            count[:n] += step & 1
-            np.right_shift(step, 1, out=state[:n])
+        if self.dense:
+            local = np.ascontiguousarray(self.local[:, self.dense])
+            state = np.tile(self.roots[self.dense].astype(np.int32), (len(order), 1))
+            began = np.zeros(state.shape, np.int32)
+            for t in range(longest):
+                n = active[t]
+                at = local[codes[begin[:n] + t]]
+                at += state[:n]
+                step = self.table[at]
+                began[:n] += step & 1
+                np.right_shift(step, 1, out=state[:n])
+            count[:, self.dense] = began
+        for lang, cells, steps, missed in self.sparse:
+            local = self.local[:, lang].astype(np.int64)
+            state = np.zeros(len(order), np.int64)
+            for t in range(longest):
+                n = active[t]
+                letter = local[codes[begin[:n] + t]]
+                cell = state[:n] + letter
+                found = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
+                step = np.where(cells[found] == cell, steps[found], missed[letter])
+                count[:n, lang] += step & 1
+                state[:n] = step >> 1
         total = np.zeros((len(texts), len(self.names)), np.int64)
         np.add.at(total, owner[order], count)
         return total
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """A sample text for each language: at most SAMPLE_TEXTS texts in the order of a hash of the id, at most its share of ``chars``."""
+    """A sample text for each language: at most SAMPLE_TEXTS texts in the order of a hash of the id, at most its share of ``chars`` or LANG_CHARS letters."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
     rows = (
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
@@ -137,7 +173,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     by_lang: dict[str, list[str]] = {}
     for r in rows:
         by_lang.setdefault(r.lang, []).append(r.text.lower())
-    share = chars // max(1, len(by_lang))
+    share = max(LANG_CHARS, chars // max(1, len(by_lang)))
     return {lang: "\n".join(texts)[:share] for lang, texts in by_lang.items()}
 
 

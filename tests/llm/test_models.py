@@ -118,6 +118,17 @@ def test_ordinal_fit_grows_with_evidence():
     assert np.corrcoef(hits[y == 1], expected[y == 1])[0, 1] > 0.8
 
 
+def test_rare_toxic_words_are_learned():
+    rng = np.random.default_rng(5)
+    y = np.repeat([1, 0], 500)
+    # Each toxic text has two of 160 toxic words, so a word is in about six texts of 1000; all texts have common words.
+    texts = [np.concatenate([rng.integers(200, 500, 20), rng.choice(160, 2, replace=False) if t else np.zeros(0)]).astype(np.int64) for t in y]
+    model = toxicity.fit(texts, y, bits=10)
+    fresh = [np.concatenate([rng.integers(200, 500, 20), rng.choice(160, 2, replace=False) if t else np.zeros(0)]).astype(np.int64) for t in y]
+    said = model.above(np.array([model.weights[t].sum() for t in fresh]))[:, 0] >= 0.5
+    assert said[y == 1].mean() > 0.75 and said[y == 0].mean() < 0.1  # none of them before rare features were fitted
+
+
 def test_quality(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     weights = quality.train(docs, labels)

@@ -6,10 +6,11 @@ above j is sigmoid(s - threshold j) with s the sum of the weights of the text's
 likeliest grade, and whether a grade above 0 is likelier than not.
 
 Labels say only toxic or not. Grades above 0 are the thirds of toxic sample texts by their number of marker words, a marker being a
-feature at least ``MARK`` times as frequent in toxic texts as in others. Training takes a bounded sample (``PER_CLASS`` texts of
-each label, of at most ``MAX_CHARS`` letters) and the features that
-tell the labels apart (chi-square at least ``TOLD``, seen in at least ``SEEN`` texts); it minimises the negative log-likelihood with
-an L1 term by proximal steps of per-coordinate size. Defined results: null and word-less texts have s = 0 and so the grade that the thresholds
+feature at least ``MARK`` times as frequent in toxic texts as in others (chi-square at least ``TOLD``). Training takes a bounded sample (``PER_CLASS`` texts of
+each label, of at most ``MAX_CHARS`` letters) and all their features seen in at least ``SEEN`` texts; it minimises the negative
+log-likelihood with an L1 term by proximal steps of per-coordinate size. Features that tell the labels apart by themselves
+(chi-square at least ``TOLD``) are fitted first; then all others, rare words among them, are fitted to what the first leave
+unexplained, with an L1 term in proportion to the chance slope of a feature so often seen. Defined results: null and word-less texts have s = 0 and so the grade that the thresholds
 give without evidence (0); without labels of both kinds every severity is 0.
 """
 
@@ -31,11 +32,13 @@ BITS = 20
 PER_CLASS = 2000
 MAX_CHARS = 20_000
 SEEN = 3
-TOLD = 12.0  # chi-square of a feature's presence and the label, at least
+TOLD = 12.0  # chi-square of the presence and the label, at least, of a marker and of what is fitted first
 MARK = 8.0
 GRADES = 4
 STEPS = 300
 RATE, L1 = 0.3, 2e-5
+RARE_L1 = 1.7  # of the other features, in standard errors: one in SEEN toxic texts and no other can still get a weight
+ROUNDS = 8
 STEMS = (3, 4, 5, 6, 7, 8)
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _CACHE = 200_000
@@ -68,41 +71,64 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray, bits: int = BITS, grades: in
     n = n1 + n0
     a, b = seen[1], seen[0]
     told = np.maximum(np.abs(a * (n0 - b) - b * (n1 - a)) - n / 2, 0) ** 2 * n / np.maximum((a + b) * (n - a - b) * float(n1 * n0), 1)
-    kept = np.flatnonzero((a + b >= SEEN) & (told >= TOLD))
-    if not len(kept):
-        return Ordinal(np.zeros(size, np.float32), np.full(grades - 1, 35.0))
     ratio = ((a + 0.1) / n1) / ((b + 0.1) / n0)
     marker = (ratio >= MARK) & (told >= TOLD)
     marks = np.array([marker[f].sum() for f in texts])
     cut = np.quantile(marks[toxic == 1], np.arange(1, grades - 1) / (grades - 1))
     y = np.where(toxic == 1, 1 + np.searchsorted(cut, marks, side="left"), 0)
-    rank = np.full(size, -1, np.int64)
-    rank[kept] = np.arange(len(kept))
-    rows = [r[r >= 0] for r in (rank[f] for f in texts)]
-    at, lengths = np.concatenate(rows), np.array([len(r) for r in rows])
-    of = np.repeat(np.arange(len(rows)), lengths)
-    w, theta = np.zeros(len(kept)), np.arange(1.0, grades)
-    gw2, gt2 = np.full(len(kept), 1e-8), np.full(grades - 1, 1e-8)
     share = np.where(toxic == 1, 0.5 / n1, 0.5 / n0)  # toxic and other texts weigh alike, however many there are
-    for _ in range(STEPS):
-        s = np.bincount(of, weights=w[at], minlength=n)
+    noise = 0.5 * np.sqrt(a * (0.5 / n1) ** 2 + b * (0.5 / n0) ** 2)  # of the slope of a feature that tells nothing
+    lengths = np.array([len(f) for f in texts])
+    flat, of_text = np.concatenate(texts), np.repeat(np.arange(n), lengths)
+    whole, theta, base = np.zeros(size), np.arange(1.0, grades), np.zeros(n)
+
+    def slopes(s: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the loss in s and in the thresholds."""
         edge = np.concatenate([[-np.inf], theta, [np.inf]])
         with np.errstate(over="ignore"):
             high, low = (1 / (1 + np.exp(-(edge[y + k] - s))) for k in (1, 0))
         p = np.maximum(high - low, 1e-12)
-        slope = (1 - high - low) * share  # of the loss in s
-        gw = np.bincount(at, weights=slope[of], minlength=len(kept))
         up, down = high * (1 - high) / p * share, low * (1 - low) / p * share
-        gt = np.array([-up[y == j].sum() + down[y == j + 1].sum() for j in range(grades - 1)])
-        gw2 += gw * gw
-        gt2 += gt * gt
-        step = RATE / np.sqrt(gw2)
-        w = w - step * gw
-        w = np.sign(w) * np.maximum(np.abs(w) - step * L1 / 10, 0)
-        theta = np.sort(theta - RATE / np.sqrt(gt2) * gt)
-    whole = np.zeros(size, np.float32)
-    whole[kept] = w
-    return Ordinal(whole, theta)
+        return (1 - high - low) * share, np.array([-up[y == j].sum() + down[y == j + 1].sum() for j in range(grades - 1)])
+
+    def descend(kept: np.ndarray, l1: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the ``kept`` features beside ``base``, and thresholds."""
+        rank = np.full(size, -1, np.int32)
+        rank[kept] = np.arange(len(kept))
+        at = rank[flat]
+        of, at = of_text[at >= 0], at[at >= 0]
+        w = np.zeros(len(kept))
+        gw2, gt2 = np.full(len(kept), 1e-8), np.full(grades - 1, 1e-8)
+        for _ in range(STEPS):
+            slope, gt = slopes(base + np.bincount(of, weights=w[at], minlength=n), theta)
+            gw = np.bincount(at, weights=slope[of], minlength=len(kept))
+            gw2 += gw * gw
+            gt2 += gt * gt
+            step = RATE / np.sqrt(gw2)
+            w = w - step * gw
+            w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
+            theta = np.sort(theta - RATE / np.sqrt(gt2) * gt)
+        return w, theta
+
+    plain = (a + b >= SEEN) & (told >= TOLD)
+    if plain.any():
+        kept = np.flatnonzero(plain)
+        whole[kept], theta = descend(kept, np.full(len(kept), L1 / 10), theta)
+        base = np.bincount(of_text, weights=whole[flat], minlength=n)
+    # All others, for what is left: features whose slope the L1 term does not hold at 0, until there is none more.
+    others, active = (a + b >= SEEN) & ~plain, np.zeros(size, bool)
+    s, first = base, theta
+    for _ in range(ROUNDS):
+        slope, _ = slopes(s, theta)
+        pull = np.abs(np.bincount(flat, weights=slope[of_text], minlength=size))
+        more = others & ~active & (pull > RARE_L1 * noise)
+        if not more.any():
+            break
+        active |= more
+        kept = np.flatnonzero(active)
+        whole[kept], theta = descend(kept, RARE_L1 * noise[kept], first)
+        s = np.bincount(of_text, weights=whole[flat], minlength=n)
+    return Ordinal(whole.astype(np.float32), theta)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = BITS) -> Ordinal:

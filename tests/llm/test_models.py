@@ -165,6 +165,21 @@ def test_main_text(spark):
     assert html_extract.extract(df.limit(0), trees).count() == 0
 
 
+def test_only_hiding_attributes_hide():
+    seen = ['title="The hidden valley"', 'class="md hidden lg:block"', 'data-x="display:none"', "aria-label='aria-hidden=true'", 'aria-hidden="false"', 'style="--display:none-such"', 'href=/hidden']
+    gone = ["hidden", 'hidden=""', "id=x HIDDEN", 'style="color:red; display : none"', "style=display:none", "aria-hidden=true", "aria-hidden = 'true' class='a'", 'class="a"hidden']
+    assert [html_extract.parse(f"<div {a}>text</div>")[1].hidden for a in seen + gone] == [False] * len(seen) + [True] * len(gone)
+
+
+def test_formulas_go_with_their_text():
+    page = "<article><p>Mass is <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> here.</p><nav><math><mi>q</mi></math></nav></article>"
+    nodes = html_extract.parse(page)
+    for p in (0.01, 0.99):  # whatever the trees say of a formula
+        chance = np.array([p if n.formula else 0.01 if n.tag == "nav" else 0.9 for n in nodes])
+        assert html_extract.text_of(nodes, html_extract.decode(nodes, chance)) == "Mass is E=mc2 here."
+    assert not any(n.formula for n in html_extract.parse("<math><mi>x</mi><p>after</p>") if n.tag == "p")
+
+
 def test_decoding_never_contradicts():
     rng = np.random.default_rng(2)
     nodes = html_extract.parse(PAGE)

@@ -35,7 +35,7 @@ SAMPLE_CHARS = 50_000
 TREES, DEPTH = 12, 4
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template svg math select option datalist".split())
+RAW = frozenset("script style textarea title noscript iframe template svg select option datalist".split())
 SILENT = RAW | {"head"}
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -58,8 +58,9 @@ BOILER_NAMES = frozenset(
 MAIN_NAMES = frozenset("article body content entry main post story text".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMED = re.compile(r"(?:^|\s)(?:class|id|role|itemprop|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+NAMED = frozenset("class id role itemprop aria-label".split())
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 LESSONS = (
@@ -87,6 +88,7 @@ class Node:
     names: list[str]
     hidden: bool
     inside: bool = False  # of an article
+    formula: bool = False  # math or a part of it: goes with what it stands in
     parts: list[str | int] = field(default_factory=list)  # own text and children, in page order
 
     @property
@@ -95,8 +97,16 @@ class Node:
         return self.tag in BOILER_TAGS and not (self.tag == "header" and self.inside)
 
 
-def _tokens(attributes: str) -> list[str]:
-    return [t.lower() for v in _NAMED.findall(attributes) for t in _TOKEN.findall(v)]
+def attributes_of(attributes: str) -> tuple[list[str], bool]:
+    """Tokens of the naming attributes, and whether an attribute hides the element: hidden, aria-hidden=true or style with display:none."""
+    names, hidden = [], False
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), value[1:-1] if value[:1] in ('"', "'") else value
+        if name in NAMED:
+            names += [t.lower() for t in _TOKEN.findall(value)]
+        elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NO_DISPLAY.search(html.unescape(value)):
+            hidden = True
+    return names, hidden
 
 
 def parse(page: str | None) -> list[Node]:
@@ -144,8 +154,9 @@ def parse(page: str | None) -> list[Node]:
             nodes[open_[-1]].parts.append(" ")
             continue
         up = open_[-1]
-        named, hidden = (_tokens(attributes), bool(_HIDDEN.search(attributes))) if attributes.strip() else ([], False)
+        named, hidden = attributes_of(attributes) if attributes.strip() else ([], False)
         nodes.append(Node(tag, up, nodes[up].depth + 1, named, hidden, nodes[up].inside or nodes[up].tag == "article"))
+        nodes[-1].formula = tag == "math" or nodes[up].formula and tag not in BLOCKS and tag not in RAW
         nodes[up].parts.append(len(nodes) - 1)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
@@ -169,7 +180,7 @@ def features(nodes: list[Node]) -> np.ndarray:
             continue
         text = " ".join(p for p in node.parts if type(p) is str)
         own[i, :3] = len(text), text.count(" "), text.count(".") + text.count(",")
-    total, elements = own.copy(), np.ones(n)
+    total, elements = own.copy(), np.array([1.0 - node.formula for node in nodes])
     for i in range(n - 1, 0, -1):
         if nodes[i].tag == "a":
             total[i, 3] = total[i, 0]
@@ -178,15 +189,15 @@ def features(nodes: list[Node]) -> np.ndarray:
     rows = np.zeros((n, FEATURES))
     boiler = np.zeros(n)
     for i, node in enumerate(nodes):
-        kids = [p for p in node.parts if type(p) is not str]
+        kids = [p for p in node.parts if type(p) is not str and not nodes[p].formula]
         up = nodes[node.parent] if i else node
         named = node.boilerplate + sum(t in BOILER_NAMES for t in node.names)
         boiler[i] = named + (boiler[node.parent] if i else 0)
         letters, words, stops, linked = total[i]
         around = total[node.parent] if i else total[i]
-        siblings = [p for p in up.parts if type(p) is not str]
+        siblings = [p for p in up.parts if type(p) is not str and not nodes[p].formula]
         rows[i] = (
-            np.log1p(letters), np.log1p(words), stops / (words + 1), linked / (letters + 1), letters / elements[i], np.log1p(elements[i]),
+            np.log1p(letters), np.log1p(words), stops / (words + 1), linked / (letters + 1), letters / max(1.0, elements[i]), np.log1p(elements[i]),
             node.depth, len(kids), len(siblings), (around[0] - letters) / (around[0] + 1), around[3] / (around[0] + 1),
             named, boiler[i], sum(t in MAIN_NAMES for t in node.names), node.tag in ("article", "main"),
             node.tag in ("p", "h1", "h2", "h3", "blockquote", "pre"), node.hidden,
@@ -203,6 +214,7 @@ def marks(nodes: list[Node]) -> np.ndarray:
             out[i] = 0
         elif above == 1 or node.tag in ("article", "main", "html", "body") or any(t in MAIN_NAMES for t in node.names):
             out[i] = 1
+    out[[i for i, node in enumerate(nodes) if node.formula]] = -1
     return out
 
 
@@ -272,6 +284,7 @@ def train(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") ->
 def decode(nodes: list[Node], chance: np.ndarray) -> np.ndarray:
     """Kept elements: the likeliest labelling in which a dropped element's descendants are dropped too."""
     p = np.clip(chance, 1e-6, 1 - 1e-6)
+    p[[i for i, node in enumerate(nodes) if node.formula]] = 0.5  # says nothing of what it stands in
     keep, drop = np.log(p), np.log1p(-p)
     whole = drop.copy()  # everything below dropped
     best = keep.copy()  # this element kept, its children as is best for them
@@ -281,7 +294,7 @@ def decode(nodes: list[Node], chance: np.ndarray) -> np.ndarray:
         best[up] += max(best[i], whole[i])
     kept = np.zeros(len(nodes), bool)
     for i, node in enumerate(nodes):
-        kept[i] = i == 0 or kept[node.parent] and best[i] > whole[i] and node.tag not in SILENT and not node.hidden
+        kept[i] = i == 0 or kept[node.parent] and (node.formula or best[i] > whole[i]) and node.tag not in SILENT and not node.hidden
     return kept
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, html_extract, jaccard, language, packing, quality, shards, token_counts, topk, toxicity
+from tidemill.llm import byte_bpe, decontaminate, html_extract, jaccard, language, packing, quality, shards, token_counts, topk, toxicity
 from tidemill.llm.common import held_out, settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,15 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = byte_bpe.Codec(settle(spark))
+    done = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), codec), codec)
+    return done.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

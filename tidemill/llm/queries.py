@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe, decontaminate, html_extract, jaccard, language, packing, quality, shards, token_counts, topk, toxicity
+from tidemill.llm import byte_bpe, decontaminate, html_extract, jaccard, language, packing, quality, shards, token_counts, topk, toxicity, vector_codes
 from tidemill.llm.common import held_out, settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,14 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vector_codes.train(vectors)
+    coded = vector_codes.with_label_errors(vector_codes.encode(vectors, books, label_col="label"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 @query()
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = byte_bpe.Codec(settle(spark))

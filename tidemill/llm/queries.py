@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe, decontaminate, html_extract, jaccard, language, packing, quality, shards, token_counts, topk, toxicity, vector_codes
+from tidemill.llm import alignment, byte_bpe, decontaminate, html_extract, jaccard, language, packing, quality, shards, token_counts, topk, toxicity, vector_codes
 from tidemill.llm.common import held_out, settle, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
 
 
+@query()
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = byte_bpe.Codec(settle(spark))

@@ -128,7 +128,7 @@ def stream_ingest_top_items(shop: Shop) -> DataFrame:
     run = _Run(shop, "ingest")
     bought = derive(run.spark, "purchases", {"events": _event_stream(run.spark, shop.sf_dir)})
     purchases.ingest_append(bought, run.out, run.checkpoint)
-    return sales.flash_top_items(shop.spark.read.parquet(run.out).drop("batch"))
+    return sales.flash_top_items(purchases.read_ingested(shop.spark, run.out))
 
 
 @query(
@@ -140,4 +140,42 @@ def stream_ingest_hourly(shop: Shop) -> DataFrame:
     run = _Run(shop, "ingest")
     bought = derive(run.spark, "purchases", {"events": _event_stream(run.spark, shop.sf_dir)})
     purchases.ingest_append(bought, run.out, run.checkpoint)
-    return sales.hourly_volume(shop.spark.read.parquet(run.out).drop("batch"), NOW)
+    return sales.hourly_volume(purchases.read_ingested(shop.spark, run.out), NOW)
+
+
+MIDDLE = "2024-01-15 12:00:00"
+
+
+def _halves(run: _Run, sf_dir: str, name: str) -> list[DataFrame]:
+    """A frame's stream of the month's first half, and of the rest."""
+    events = _event_stream(run.spark, sf_dir)
+    early = F.col("ts") <= F.lit(MIDDLE).cast("timestamp_ntz")
+    return [derive(run.spark, name, {"events": events.where(c)}) for c in (early, ~early)]
+
+
+@query(
+    "select id, user_id, item_id, quantity, cast(purchase_price as double) as purchase_price, deleted, created_at from purchases",
+    ("purchases",),
+)
+def stream_ingest_restart(shop: Shop) -> DataFrame:
+    """Two streams with checkpoints of their own, the second after a compaction; then the first one's batches once more."""
+    run = _Run(shop, "restart")
+    early, late = _halves(run, shop.sf_dir, "purchases")
+    purchases.ingest_append(early, run.out, f"{run.checkpoint}/a")
+    purchases.compact_ingested(shop.spark, run.out)
+    purchases.ingest_append(late, run.out, f"{run.checkpoint}/b")
+    purchases.compact_ingested(shop.spark, run.out)
+    purchases.ingest_append(early, run.out, f"{run.checkpoint}/lost")
+    table = purchases.read_ingested(shop.spark, run.out)
+    return table.select("id", "user_id", "item_id", "quantity", "purchase_price", "deleted", "created_at")
+
+
+@query(_LATEST, ("changes",))
+def cdc_apply_restart(shop: Shop) -> DataFrame:
+    """The later half of the change log first, folded; then the earlier half under a new checkpoint."""
+    run = _Run(shop, "restart")
+    early, late = _halves(run, shop.sf_dir, "changes")
+    keyed.apply_stream(late, run.out, f"{run.checkpoint}/a", "id")
+    keyed.fold(shop.spark, run.out, "id")
+    keyed.apply_stream(early, run.out, f"{run.checkpoint}/b", "id")
+    return keyed.read_state(shop.spark, run.out, "id")

@@ -1,8 +1,9 @@
 """Keeping a keyed table up to date from a change stream.
 
-The table is a folder with a base and deltas. Each micro-batch writes one delta, reduced to the newest change per key,
-into a folder named after the batch number, so a replay overwrites itself and costs no more than the batch. Readers
-merge base and deltas; ``fold`` writes them as the next base when the deltas have grown.
+The table is a folder with a base and deltas, kept by a journal. Each micro-batch writes one delta, reduced to the newest
+change per key; it is named after its run and batch, so a replay overwrites itself, a new checkpoint adds to what earlier ones wrote,
+and a batch costs no more than its own rows. Readers merge base and deltas; ``fold`` writes them as the next base when the deltas
+have grown. A base says which batches it covers, so a delta is never hidden behind a base that was made without it.
 """
 
 from __future__ import annotations
@@ -11,33 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.operators.changes import apply_changes, live, newest_change
 from tidemill.sources.changes import SEQ
-from tidemill.sources.versions import numbered
-from tidemill.streaming.runner import run_batches
+from tidemill.sources.journal import Journal, Part, observed_write
+from tidemill.streaming.runner import land_batches
 
-BASE, DELTA = "base", "delta"
+PREFIX = "delta-"
 
 
-def _folder(root: str, kind: str, number: int) -> str:
-    return f"{root}/{kind}{number}"
+def journal(spark: SparkSession, root: str) -> Journal:
+    return Journal(spark, root, PREFIX)
 
 
 def apply_stream(changes: DataFrame, root: str, checkpoint: str, key: str, seq: str = SEQ) -> None:
     """Take the changes that have arrived into the table at ``root``."""
 
-    def land(batch: DataFrame, number: int) -> None:
-        newest_change(batch, key, seq).write.mode("overwrite").parquet(_folder(root, DELTA, number))
+    def write(batch: DataFrame, path: str, part: Part) -> str:
+        return observed_write(newest_change(batch, key, seq), path)
 
-    run_batches(changes, land, checkpoint)
-
-
-def _parts(spark: SparkSession, root: str) -> tuple[int, DataFrame | None, DataFrame | None]:
-    """The last batch number (-1 for none), the newest base, and the deltas it does not cover."""
-    bases = numbered(spark, root, BASE)
-    covered = bases[-1] if bases else -1
-    deltas = [n for n in numbered(spark, root, DELTA) if n > covered]
-    base = spark.read.parquet(_folder(root, BASE, covered)) if bases else None
-    changes = spark.read.parquet(*[_folder(root, DELTA, n) for n in deltas]) if deltas else None
-    return (deltas[-1] if deltas else covered), base, changes
+    land_batches(changes, journal(changes.sparkSession, root), write, checkpoint)
 
 
 def _merged(base: DataFrame | None, changes: DataFrame | None, key: str, seq: str) -> DataFrame:
@@ -47,9 +38,17 @@ def _merged(base: DataFrame | None, changes: DataFrame | None, key: str, seq: st
     return newest_change(changes, key, seq) if base is None else apply_changes(base, changes, key, seq)
 
 
+def _read(spark: SparkSession, root: str) -> tuple[list[Part], list, DataFrame | None, DataFrame | None]:
+    log = journal(spark, root)
+    parts, bases = log.live()
+    base = spark.read.parquet(*[log.path(b) for b in bases]) if bases else None
+    changes = spark.read.parquet(*[log.path(p) for p in parts]) if parts else None
+    return parts, bases, base, changes
+
+
 def read_state(spark: SparkSession, root: str, key: str, seq: str = SEQ, with_deleted: bool = False) -> DataFrame:
     """The table's current rows."""
-    _, base, changes = _parts(spark, root)
+    _, _, base, changes = _read(spark, root)
     if base is None and changes is None:
         raise FileNotFoundError(f"no change has been applied under {root}")
     state = _merged(base, changes, key, seq)
@@ -57,8 +56,15 @@ def read_state(spark: SparkSession, root: str, key: str, seq: str = SEQ, with_de
 
 
 def fold(spark: SparkSession, root: str, key: str, seq: str = SEQ) -> int:
-    """Write base and deltas as one new base, which covers the deltas up to the returned batch number."""
-    number, base, changes = _parts(spark, root)
-    if changes is not None:
-        _merged(base, changes, key, seq).write.mode("overwrite").parquet(_folder(root, BASE, number))
-    return number
+    """Write base and deltas as one new base; returns the last batch number of the latest run it covers (-1 for none)."""
+    parts, bases, base, changes = _read(spark, root)
+    log = journal(spark, root)
+    if parts:
+        bases = [log.merge(parts, bases, _merged(base, changes, key, seq).write.mode("overwrite").parquet)]
+    covers = bases[-1].covers if bases else {}
+    return covers[max(covers)][-1][1] if covers else -1
+
+
+def expire(spark: SparkSession, root: str) -> list[str]:
+    """Delete the deltas and bases that the newest base covers."""
+    return journal(spark, root).expire()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemill import fixed
+from tidemill.sources.journal import Journal, Part
 
 
 def with_event_time(df: DataFrame, column: str = "event_time", delay: str = fixed.LOGIN_WATERMARK) -> DataFrame:
@@ -57,6 +59,31 @@ def run_batches(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoin
     query.awaitTermination()
 
 
+def land_batches(
+    df: DataFrame, journal: Journal, write: Callable[[DataFrame, str, Part], str], checkpoint: str, mode: str = "append"
+) -> None:
+    """Write every micro-batch of what has arrived as a part of a table; ``write`` gives the digest of its rows.
+
+    Parts go by the stream's own id, which its checkpoint keeps, so every checkpoint has its own run of batches.
+    """
+    known, started = [], threading.Event()
+
+    def each(batch: DataFrame, number: int) -> None:
+        started.wait()
+        journal.land(known[0], number, lambda path, part: write(batch, path, part))
+
+    query = (
+        df.writeStream.foreachBatch(each)
+        .outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    known.append(query.id)
+    started.set()
+    query.awaitTermination()
+
+
 @dataclass(frozen=True)
 class Job:
     name: str

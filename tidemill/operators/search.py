@@ -70,15 +70,14 @@ def keyword_search(
     return hits.select(key, score.alias("score")).orderBy(F.col("score").desc(), key).limit(k)
 
 
-def index_terms(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document and distinct word: (term, key, tf, length).
+def index_terms(docs: DataFrame, key: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document and distinct word: (term, key, length, tf), and the columns ``also`` of the document.
 
     Repeated words collapse in the map tasks, so a word found in every document costs one row per document.
     """
-    words = docs.select(key, tokens(F.col(text)).alias("w")).select(key, F.size("w").alias("length"), "w")
-    return words.select(key, "length", F.explode("w").alias("term")).groupBy("term", key, "length").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    words = docs.select(key, *also, tokens(F.col(text)).alias("w")).select(key, *also, F.size("w").alias("length"), "w")
+    each = words.select(key, *also, "length", F.explode("w").alias("term"))
+    return each.groupBy("term", key, *also, "length").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def store_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> None:

@@ -196,9 +196,13 @@ def embed_pending(shop: Shop) -> DataFrame:
 # Keyword search -------------------------------------------------------------------------------------------------------
 
 _TERMS = search.query_terms(SEARCH)
-_BM25 = f"""
+
+
+def bm25_sql(documents: str) -> str:
+    """The ten best of ``documents``, a table or subquery with doc_id and text."""
+    return f"""
     with w as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') as w
-               from documents),
+               from {documents}),
          p as (select doc_id, len(w) as length, unnest(w) as term from w),
          t as (select doc_id, length, term, count(*) as tf from p
                where term in ({", ".join(f"'{t}'" for t in _TERMS)}) group by all),
@@ -210,6 +214,9 @@ _BM25 = f"""
     select doc_id, round(score, 6) as score from s order by s.score desc, doc_id limit 10"""
 
 
+_BM25 = bm25_sql("documents")
+
+
 @query(_BM25)
 def keyword_search(shop: Shop) -> DataFrame:
     found = search.keyword_search(shop.table("documents"), SEARCH)

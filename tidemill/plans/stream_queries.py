@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import sales
 from tidemill.plans.catalog import Shop, query
+from tidemill.plans.learn_queries import SEARCH, bm25_sql
 from tidemill.plans.frames import NOW, SENTINEL, derive, source
 from tidemill.session import run_dir, stream_session
 from tidemill.streaming import changes as keyed
 from tidemill.streaming import logins, purchases, runner
+from tidemill.streaming import search as live_search
 
 _ALERTS = """
     select l.user_id, u.email as user_email, date_trunc('day', ts) as window_start,
@@ -179,3 +181,28 @@ def cdc_apply_restart(shop: Shop) -> DataFrame:
     keyed.fold(shop.spark, run.out, "id")
     keyed.apply_stream(early, run.out, f"{run.checkpoint}/b", "id")
     return keyed.read_state(shop.spark, run.out, "id")
+
+
+_EDITED = "concat(substr(text, 1, 200), ' of the wonder sounds')"
+# What happens to the documents, in the order in which it is delivered: (op, sequence, text, which).
+_EDITS = [
+    ("c", "doc_id", "text", "true"),
+    ("u", "1000000000 + doc_id", _EDITED, "doc_id % 7 = 0"),
+    ("d", "2000000000 + doc_id", "cast(null as string)", "doc_id % 11 = 0"),
+    ("u", "-1 - doc_id", "'the wonder of things, late'", "doc_id % 13 = 0"),
+]
+
+
+@query(bm25_sql(f"(select doc_id, case when doc_id % 7 = 0 then {_EDITED} else text end as text from documents where doc_id % 11 <> 0)"))
+def keyword_search_changes(shop: Shop) -> DataFrame:
+    """Search over an index that took inserts, updates, deletes and changes that came too late, and merged its segments."""
+    run = _Run(shop, "index")
+    schema = shop.table("documents").schema
+    for i, (op, seq, text, which) in enumerate(_EDITS):
+        docs = run.spark.readStream.schema(schema).parquet(f"{shop.sf_dir}/documents*.parquet").where(which)
+        changes = docs.select("doc_id", F.lit(op).alias("op"), F.expr(seq).alias("seq"), F.expr(text).alias("text"))
+        live_search.index_stream(changes, run.out, f"{run.checkpoint}/{i}", "doc_id", "text")
+        if i == 1:
+            live_search.merge_segments(shop.spark, run.out, everything=True)
+    found = live_search.search(shop.spark, run.out, SEARCH, key="doc_id")
+    return found.withColumn("score", F.round("score", 6))

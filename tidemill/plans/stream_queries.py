@@ -10,8 +10,10 @@ from tidemill.plans.catalog import Shop, query
 from tidemill.plans.learn_queries import SEARCH, bm25_sql
 from tidemill.plans.frames import NOW, SENTINEL, derive, source
 from tidemill.session import run_dir, stream_session
+from tidemill.sinks import replace_table
+from tidemill.sources.tables import read_dimension
 from tidemill.streaming import changes as keyed
-from tidemill.streaming import logins, purchases, runner
+from tidemill.streaming import logins, lookup, purchases, runner
 from tidemill.streaming import search as live_search
 
 _ALERTS = """
@@ -206,3 +208,72 @@ def keyword_search_changes(shop: Shop) -> DataFrame:
             live_search.merge_segments(shop.spark, run.out, everything=True)
     found = live_search.search(shop.spark, run.out, SEARCH, key="doc_id")
     return found.withColumn("score", F.round("score", 6))
+
+
+_PROFILE = ["id", "first_name", "last_name", "email"]
+# Profiles as the later logins and alerts see them: some users are gone, some have moved.
+_MOVED = "(select * replace (case when id % 4 = 0 then 'moved-' || email else email end as email) from silver_users where id % 9 <> 0)"
+
+
+class _Profiles:
+    """The users' table of a shop, which changes while a stream runs over logins that arrive in two files."""
+
+    def __init__(self, shop: Shop, run: _Run) -> None:
+        self.shop, self.root, self.folder, self.spark = shop, run_dir(shop.spark, "profiles"), f"{run_dir(shop.spark, 'logins')}", run.spark
+        self.put(shop.users())
+
+    def put(self, users: DataFrame) -> None:
+        replace_table(users, self.root, "silver", "users")
+
+    def move(self) -> None:
+        moved = F.when(F.col("id") % 4 == 0, F.concat(F.lit("moved-"), "email")).otherwise(F.col("email"))
+        self.put(self.shop.users().where("id % 9 <> 0").withColumn("email", moved))
+
+    def now(self) -> DataFrame:
+        return read_dimension(self.spark, self.root, "silver", "users", _PROFILE)
+
+    def arrive(self, which: str) -> None:
+        self.shop.frame("logins").where(which).write.mode("append").parquet(self.folder)
+
+    def stream(self) -> DataFrame:
+        schema = self.shop.frame("logins").schema
+        return self.spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(self.folder)
+
+
+@query(
+    f"""select l.user_id, u.email as user_email, u.first_name || ' ' || u.last_name as full_name, login_ts, ip_address, device, is_success
+        from logins l left join silver_users u on l.user_id = u.id where login_ts <= '{MIDDLE}'
+        union all
+        select l.user_id, u.email, u.first_name || ' ' || u.last_name, login_ts, ip_address, device, is_success
+        from logins l left join {_MOVED} u on l.user_id = u.id where login_ts > '{MIDDLE}'""",
+    ("logins", "silver_users"),
+)
+def login_enriched_live(shop: Shop) -> DataFrame:
+    """Two batches of logins, between which profiles change and vanish."""
+    run = _Run(shop, "live")
+    users = _Profiles(shop, run)
+    for late, which in enumerate((f"login_ts <= '{MIDDLE}'", f"login_ts > '{MIDDLE}'")):
+        if late:
+            users.move()
+        users.arrive(which)
+        logins.enrich_logins_live(users.stream(), users.now, run.out, run.checkpoint)
+    return lookup.read_enriched(shop.spark, run.out)
+
+
+@query(
+    _ALERTS.replace("left join silver_users u", f"left join {_MOVED} u"),
+    ("logins", "silver_users"),
+)
+def login_alerts_live(shop: Shop) -> DataFrame:
+    """Alerts whose windows are still open when profiles change: they carry the profile of the moment they are raised."""
+    run = _Run(shop, "live")
+    users = _Profiles(shop, run)
+    end = f"{SENTINEL:%Y-%m-%d %H:%M:%S}.000"
+    users.arrive("login_ts < '2024-01-01 12:00:00'")  # no window is over yet
+    logins.login_alerts_live(users.stream(), users.now, run.out, run.checkpoint, window="1 day")
+    users.move()
+    users.arrive("login_ts >= '2024-01-01 12:00:00'")
+    late = shop.frame("logins").limit(1).withColumns({"login_ts": F.lit(end), "user_id": F.lit(-1)})
+    late.write.mode("append").parquet(users.folder)
+    logins.login_alerts_live(users.stream(), users.now, run.out, run.checkpoint, window="1 day")
+    return lookup.read_enriched(shop.spark, run.out)

@@ -14,6 +14,7 @@ from tidemill.plans import medallion
 from tidemill.plans.frames import NOW, frame
 from tidemill.schemas import declared
 from tidemill.sources import read_layer, unwrap
+from tidemill.sources.versions import numbered
 
 SF = "/root/testdata/sf0.001"
 
@@ -80,6 +81,25 @@ def test_flow_runs_twice_without_doubling(spark, folder):
     assert spark.read.option("header", True).csv(first.csv_path).count() == first.rows()["gold.user_engagement_segments"]
 
 
+def test_documented_cleaning_and_version_expiry(spark, folder):
+    sources = {n: quality.BRONZE_SUITES[n].split(frame(spark, SF, n))[0] for n in medallion.BRONZE}
+    users = sources["users"]
+    twin = users.orderBy("id").limit(1)
+    shout = twin.withColumns({"id": F.lit(10**9), "email": F.upper("email"), "updated_at": F.col("updated_at") + F.expr("interval 90 days")})
+    sources["users"] = users.unionByName(shout)
+    for _ in range(2):
+        medallion.run_batch(spark, sources, folder, NOW, clean=True, keep=1)
+    stored = read_layer(spark, folder, "silver", "users")
+    assert stored.count() == users.count() and stored.where("id = 1000000000").count() == 1
+    assert stored.where("email <> lower(email)").count() == 0
+    bought, orphans = sources["purchases"], read_layer(spark, folder, "quality", "orphans")
+    kept = read_layer(spark, folder, "silver", "purchases_enriched")
+    assert kept.count() + orphans.count() == bought.count() and orphans.count() > 0
+    assert kept.where("item_name is null").count() == 0
+    for table in ("bronze/users", "silver/items", "gold/top_selling_items", "quality/report"):
+        assert len(numbered(spark, f"{folder}/{table}")) == 1
+
+
 IMAGE = declared("id bigint, inventory int, price money(7)")
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import json
+import os
 from datetime import date
 from decimal import Decimal
 
@@ -11,9 +12,9 @@ from pyspark.sql import functions as F
 from helpers import plan, rows, ts
 from tidemill import fixed
 from tidemill.functions.clock import last
-from tidemill.operators.maintenance import compact_if_ready
+from tidemill.operators.maintenance import compact_if_ready, drop_old_versions
 from tidemill.schemas import LAYOUTS, PAGEVIEW_EVENT
-from tidemill.sinks import append, compact, export_csv, init_layers, jdbc_write_options, overwrite_partitions, replace_table
+from tidemill.sinks import append, compact, export_csv, init_layers, jdbc_write_options, merge_rows, overwrite_partitions, replace_table
 from tidemill.sources import is_ready, jdbc_read_options, lookup, pending, quarantine_json, read_dimension, read_json_events, read_layer, register_views
 from tidemill.sources.jdbc import KeyRange
 from tidemill.sources.versions import numbered
@@ -162,3 +163,69 @@ def test_views(spark, folder):
     assert register_views(spark, folder, ["bronze.pageviews"]) == ["bronze_pageviews"]
     df = spark.sql("select user_id from bronze_pageviews where received_at_day >= date'2024-01-02'")
     assert rows(df) == [(2,)] and "PartitionFilters: [isnotnull(received_at_day" in plan(df)
+
+
+ITEM = "id bigint, name string, category string, price decimal(7,2), inventory int, created_at timestamp_ntz, updated_at timestamp_ntz"
+
+
+def items(spark, *data):
+    day = ts("2024-01-01")
+    return spark.createDataFrame([(i, n, c, Decimal("1.00"), 1, day, ts(f"2024-01-{d:02d}")) for i, n, c, d in data], ITEM)
+
+
+def stored_items(spark, folder):
+    return rows(read_layer(spark, folder, "bronze", "items").select("id", "name", "category"))
+
+
+def test_merge_moves_rows_between_partitions(spark, folder):
+    merge = lambda *data: merge_rows(items(spark, *data), folder, "bronze", "items")
+    assert merge((1, "a", "x", 1), (2, "b", "x", 1), (3, "c", "y", 1), (4, "d", "z [1]%", 1), (5, "e", None, 1)).rows == 5
+    reader = read_layer(spark, folder, "bronze", "items")
+    files = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{folder}/bronze/items/**/*.parquet", recursive=True)}
+    # 1 moves to a new category, 3 leaves y empty, 5 gets a category, 6 is new without one; of two rows of 6 the newer counts.
+    report = merge((1, "a", "w", 2), (3, "c", "x", 2), (5, "e2", "x", 2), (6, "old", "w", 2), (6, "new", None, 3))
+    assert report.rows == 5  # with row 2, which shares a partition with 1's old copy
+    want = [(1, "a", "w"), (2, "b", "x"), (3, "c", "x"), (4, "d", "z [1]%"), (5, "e2", "x"), (6, "new", None)]
+    assert stored_items(spark, folder) == want
+    # Nothing that was there has changed, and a reader of the first version still has its rows.
+    assert files == {f: os.stat(f).st_mtime_ns for f in files} and reader.count() == 5
+    assert not any("z " in f or "category=y" in f for f in glob.glob(f"{folder}/bronze/items/v000001/*"))
+    merge((4, "d2", "z [1]%", 4), (5, "e3", "z [1]%", 4))
+    assert stored_items(spark, folder) == [*want[:3], (4, "d2", "z [1]%"), (5, "e3", "z [1]%"), want[5]]
+    text = plan(read_layer(spark, folder, "bronze", "items").where("category = 'w'"))
+    assert "PartitionFilters: [isnotnull(category" in text
+
+
+def test_empty_writes_change_nothing(spark, folder):
+    merge_rows(items(spark, (1, "a", "x", 1)), folder, "bronze", "items")
+    nothing = items(spark, (1, "a", "x", 1)).limit(0)
+    for write in (merge_rows, overwrite_partitions):
+        assert write(nothing, folder, "bronze", "items").rows == 0
+    assert stored_items(spark, folder) == [(1, "a", "x")] and numbered(spark, f"{folder}/bronze/items") == [0]
+    reviews = spark.createDataFrame([(1, "fine", date(2024, 1, 1))], "review_id bigint, review string, date date")
+    assert overwrite_partitions(reviews, folder, "silver", "reviews").rows == 1
+    assert overwrite_partitions(reviews.limit(0), folder, "silver", "reviews").rows == 0
+    assert merge_rows(reviews.limit(0), folder, "silver", "reviews", "review_id", "date").rows == 0
+    assert read_layer(spark, folder, "silver", "reviews").count() == 1
+    changed = reviews.withColumn("review", F.lit("better")).unionByName(reviews.withColumn("review_id", F.lit(2).cast("bigint")))
+    assert merge_rows(changed, folder, "silver", "reviews", "review_id", "date").rows == 2
+    assert rows(read_layer(spark, folder, "silver", "reviews").select("review_id", "review")) == [(1, "better"), (2, "fine")]
+
+
+def test_versions_that_share_partitions(spark, folder, monkeypatch):
+    monkeypatch.setattr("tidemill.sinks.tables.MOST_VERSIONS", 3)
+    table = f"{folder}/bronze/items"
+    merge = lambda *data: merge_rows(items(spark, *data), folder, "bronze", "items")
+    merge(*[(i, "a", f"c{i}", 1) for i in range(4)])
+    merge((1, "b", "c1", 2))
+    append(items(spark, (9, "n", "c1", 2), (8, "n", "c0", 2)), folder, "bronze", "items")
+    want = [(0, "a", "c0"), (1, "b", "c1"), (2, "a", "c2"), (3, "a", "c3"), (8, "n", "c0"), (9, "n", "c1")]
+    assert stored_items(spark, folder) == want
+    assert [p[-1] for p in drop_old_versions(spark, folder, "bronze", "items", keep=1)] == ["0", "1"]
+    assert stored_items(spark, folder) == want and numbered(spark, table) == [2]
+    assert not os.path.exists(f"{table}/v000000/category=c1") and os.path.exists(f"{table}/v000000/category=c2")
+    merge((3, "d", "c3", 3))  # rows in four versions: written as a whole
+    assert stored_items(spark, folder) == [*want[:3], (3, "d", "c3"), *want[4:]]
+    assert not os.path.exists(f"{table}/v000004/_parts.json")
+    drop_old_versions(spark, folder, "bronze", "items", keep=1)
+    assert stored_items(spark, folder) == [*want[:3], (3, "d", "c3"), *want[4:]]

@@ -1,4 +1,8 @@
-"""Writing layer tables. Every write reports its row count from the write itself, without a second scan."""
+"""Writing layer tables. Every write reports its row count from the write itself, without a second scan.
+
+No write but ``append`` touches files that are there: each makes the table's next version, which may list partitions of earlier
+ones (see ``sources.versions``).
+"""
 
 from __future__ import annotations
 
@@ -7,9 +11,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.operators.dedup import newest_first, top_per_key
 from tidemill.schemas import LAYOUTS, Layout, conform, layout
 from tidemill.sources.tables import read_layer, table_path
-from tidemill.sources.versions import current, following, version_path
+from tidemill.sources.files import delete
+from tidemill.sources.versions import current, finish, folders, following, latest, listed, parts, version_path
 
 
 @dataclass(frozen=True)
@@ -37,18 +43,17 @@ def _laid_out(df: DataFrame, plan: Layout) -> tuple[DataFrame, str | None]:
     return df, column
 
 
-def _write(df: DataFrame, column: str | None, mode: str, dynamic: bool = False) -> DataFrameWriter:
+def _write(df: DataFrame, column: str | None, mode: str, done: bool = True) -> DataFrameWriter:
     writer = df.write.mode(mode)
     if column:
         writer = writer.partitionBy(column)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    return writer
+    return writer if done else writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
 
 
-def _counted(df: DataFrame, name: str, path: str, column: str | None, mode: str, dynamic: bool = False) -> RunReport:
+def _counted(df: DataFrame, name: str, path: str, column: str | None, mode: str, done: bool = True) -> RunReport:
+    """Write and count; without ``done`` the version does not count yet."""
     seen = Observation()
-    _write(df.observe(seen, F.count(F.lit(1)).alias("rows")), column, mode, dynamic).parquet(path)
+    _write(df.observe(seen, F.count(F.lit(1)).alias("rows")), column, mode, done).parquet(path)
     return RunReport(name, seen.get["rows"], path)
 
 
@@ -63,18 +68,84 @@ def init_layers(spark: SparkSession, root: str, tables: list[str] | None = None)
     return made
 
 
+MOST_VERSIONS = 16  # that a version's partitions lie in, before the table is written as a whole
+
+
+def _next_parts(df: DataFrame, root: str, layer: str, name: str, column: str, gone: set[str] | None, add: bool = False) -> RunReport:
+    """Write partitions as the next version, which lists all others where they are.
+
+    ``gone`` names the partition folders that the rows replace (None: those that the rows occur in); ``add`` keeps their old rows.
+    """
+    spark, table = df.sparkSession, f"{layer}.{name}"
+    path = table_path(root, layer, name)
+    before, target = latest(spark, path), following(spark, path)
+    report = _counted(df, table, target, column, "overwrite", done=False)
+    if report.rows == 0 and not gone:
+        delete(spark, target)
+        return RunReport(table, 0, version_path(path, before))
+    written = folders(spark, target)
+    held = {} if before is None else parts(spark, path, before)
+    replaced = set() if add else set(written) if gone is None else gone
+    held = {f: versions for f, versions in held.items() if f not in replaced}
+    for f in written:
+        held.setdefault(f, []).append(int(target[-6:]))
+    finish(spark, target, held)
+    if len({v for versions in held.values() for v in versions}) > MOST_VERSIONS:
+        compact(spark, root, layer, name)
+    return report
+
+
 def overwrite_partitions(df: DataFrame, root: str, layer: str, name: str) -> RunReport:
     """Replace only the partitions that occur in ``df``; the others stay, and an empty input changes nothing.
 
-    ``df`` must not read the table it overwrites.
+    A table without partitions is replaced as a whole, by rows if there are any. ``df`` may read the table it overwrites.
     """
-    folder = table_path(root, layer, name)
-    target = current(df.sparkSession, folder)
+    spark, path = df.sparkSession, table_path(root, layer, name)
+    if current(spark, path) is None:
+        return replace_table(df, root, layer, name)
     rows, column = _laid_out(df, layout(f"{layer}.{name}"))
-    # A first write is a plain one: a dynamic overwrite leaves no mark that the version is finished.
-    first = target is None
-    target = target or version_path(folder, 0)
-    return _counted(rows, f"{layer}.{name}", target, column, "overwrite", dynamic=column is not None and not first)
+    if column:
+        return _next_parts(rows, root, layer, name, column, None)
+    report = _counted(rows, f"{layer}.{name}", following(spark, path), None, "overwrite", done=False)
+    if report.rows:
+        finish(spark, report.path)
+        return report
+    delete(spark, report.path)
+    return RunReport(report.table, 0, current(spark, path))
+
+
+def _folder_of(spark: SparkSession, column: str, value: object) -> str:
+    """The folder that Spark gives a partition value."""
+    paths = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return paths.getPartitionPathString(column, None if value is None else str(value))
+
+
+def merge_rows(df: DataFrame, root: str, layer: str, name: str, key: str = "id", newest_by: str = "updated_at") -> RunReport:
+    """Insert new keys and replace the rows of known ones, wherever they lie; an empty input changes nothing.
+
+    Of several rows of a key the newest counts; rows without a key are kept as they are and replace nothing. A key that moves
+    to another partition leaves the one it was in: partitions that hold old rows of the input's keys are written again without
+    them, partitions that lose all rows go, and all others are not touched. The report counts all rows written.
+    """
+    spark, path, plan = df.sparkSession, table_path(root, layer, name), layout(f"{layer}.{name}")
+    keyed = top_per_key(df.where(F.col(key).isNotNull()), [key], newest_first(df, [newest_by]))
+    df = keyed.unionByName(df.where(F.col(key).isNull()))
+    if current(spark, path) is None:
+        return replace_table(df, root, layer, name)
+    old = read_layer(spark, root, layer, name, with_partition=True)
+    keys, column = df.select(key), plan.partition_column
+    if not column:
+        if df.isEmpty():
+            return RunReport(f"{layer}.{name}", 0, current(spark, path))
+        return replace_table(old.join(keys, key, "left_anti").unionByName(conform(df, plan.schema)), root, layer, name)
+    # Only the partitions' values reach the driver, no more than the table has folders.
+    own = (F.to_date(plan.by) if plan.by_day else F.col(column)).alias(column)
+    moved = [r[0] for r in old.join(keys, key, "left_semi").select(column).distinct().collect()]
+    touched = {r[0] for r in df.select(own).distinct().collect()} | set(moved)
+    inside = F.col(column).isin([v for v in touched if v is not None]) | (F.col(column).isNull() & F.lit(None in touched))
+    rest = old.where(inside).join(keys, key, "left_anti").select(*plan.schema.names)
+    rows, column = _laid_out(rest.unionByName(conform(df, plan.schema)), plan)
+    return _next_parts(rows, root, layer, name, column, {_folder_of(spark, column, v) for v in touched})
 
 
 def replace_table(df: DataFrame, root: str, layer: str, name: str) -> RunReport:
@@ -85,11 +156,13 @@ def replace_table(df: DataFrame, root: str, layer: str, name: str) -> RunReport:
 
 
 def append(df: DataFrame, root: str, layer: str, name: str) -> RunReport:
-    """Add rows to the current version."""
-    folder = table_path(root, layer, name)
-    target = current(df.sparkSession, folder) or version_path(folder, 0)
+    """Add rows: to the current version, or next to it where that one lists partitions of others."""
+    spark, folder = df.sparkSession, table_path(root, layer, name)
+    number = latest(spark, folder)
     rows, column = _laid_out(df, layout(f"{layer}.{name}"))
-    return _counted(rows, f"{layer}.{name}", target, column, "append")
+    if number is not None and listed(spark, folder, number) is not None:
+        return _next_parts(rows, root, layer, name, column, None, add=True)
+    return _counted(rows, f"{layer}.{name}", version_path(folder, number or 0), column, "append")
 
 
 def compact(spark: SparkSession, root: str, layer: str, name: str, target_mb: int = 256) -> RunReport | None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.schemas import layout
-from tidemill.sources.versions import current
+from tidemill.sources.versions import places
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -22,18 +23,20 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str, with_parti
 
     A filter on the day column then prunes folders (see ``functions.clock.last``).
     """
-    path = current(spark, table_path(root, layer, name))
-    if path is None:
+    found = places(spark, table_path(root, layer, name))
+    if found is None:
         raise FileNotFoundError(f"no finished version of {layer}.{name} under {root}")
     plan = layout(f"{layer}.{name}")
     if not plan.schema.fields:
-        return spark.read.parquet(path)
+        return spark.read.parquet(found[0][0])
     names, folder = plan.schema.names, plan.partition_column
     stored = plan.schema
     if folder and folder not in names:
         stored = T.StructType([*stored.fields, T.StructField(folder, T.DateType())])
     # The declared schema spares reading file footers, and an empty table has none to read.
-    df = spark.read.schema(stored).parquet(path)
+    reader = spark.read.schema(stored)
+    frames = [reader.option("basePath", v).parquet(*[f"{v}/{f}" for f in held]) if held else reader.parquet(v) for v, held in found]
+    df = reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], stored)
     return df.select(*names, folder) if with_partition and folder and folder not in names else df.select(*names)
 
 

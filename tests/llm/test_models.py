@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import math
 import random
 import re
 import string
@@ -194,3 +195,47 @@ def test_parser_survives_noise():
         page = "".join(rng.choice(["<p>", "</p>", "<li>", "<ul>", "</ul>", "<td>", "<table>", "<b", ">", "&amp;", "<!--", "-->", "<script>", "</script>", rng.choice(string.ascii_letters)]) for _ in range(40))
         nodes = html_extract.parse(page)
         html_extract.text_of(nodes, html_extract.decode(nodes, html_extract.features(nodes)[:, 0] * 0 + 0.9))
+
+
+def test_every_usable_label_is_sampled(spark):
+    docs = spark.createDataFrame([(i, "x" * (i % 50), "clash") for i in range(100)] + [(7, None, ""), (8, "y" * 99, "")], "doc_id long, text string, label string")
+    labels = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"), F.lit("clash").alias("label"))
+    fit = [r.doc_id for r in labels.where(~held_out(F.col("doc_id")) & (F.col("doc_id") < 100)).collect()]
+    got = labelled_sample(docs, labels, "quality", 60, 60).collect()
+    assert sorted(r.doc_id for r in got) == sorted(fit) and len(fit) > 70
+    assert all(r.label == r.doc_id % 2 and r.text is not None for r in got)
+    few = labelled_sample(docs, labels, "quality", 9, 60)
+    assert {r.label: r["count"] for r in few.groupBy("label").count().collect()} == {0: 9, 1: 9}
+    short = labelled_sample(docs, labels, "quality", 60, 10).collect()
+    assert short and {r.doc_id for r in short} == {i for i in fit if i % 50 <= 10}
+    assert labelled_sample(docs.limit(0), labels, "quality", 60, 60).count() == 0 == labelled_sample(docs, labels.limit(0), "quality", 60, 60).count()
+
+
+def test_held_out_labels_change_no_score(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    flipped = labels.withColumn("quality", F.when(held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert (quality.train(docs, labels) == quality.train(docs, flipped)).all()
+    twice = labels.union(labels.where("quality = 1"))
+    assert (quality.train(docs, labels) == quality.train(docs, twice)).all()
+
+
+def test_ftrl_equals_a_plain_version():
+    rng = np.random.default_rng(2)
+    model, z, n = quality.Ftrl(bits=3), [0.0] * 9, [0.0] * 9
+
+    def weight(i):
+        if abs(z[i]) <= quality.L1:
+            return 0.0
+        return -(z[i] - math.copysign(quality.L1, z[i])) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2)
+
+    for _ in range(200):
+        at, y, share = rng.choice(9, 4, replace=False), int(rng.integers(2)), float(rng.uniform(0.2, 2))
+        x = rng.normal(size=4)
+        model.update(at, x, y, share)
+        p = 1 / (1 + math.exp(-sum(weight(i) * v for i, v in zip(at, x, strict=True))))
+        slopes = [share * (p - y) * v for v in x]
+        before = [weight(i) for i in at]
+        for i, g, w in zip(at, slopes, before, strict=True):
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA * w
+            n[i] += g * g
+    assert np.allclose(model.weights(np.arange(9)), [weight(i) for i in range(9)])

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.session import run_dir, tune
+from tidemill.sources.files import delete
 
 # Texts go to Python in batches of few rows and few bytes, so that very long texts do not fill a worker's memory.
 BATCH_SETTINGS = {
@@ -14,6 +15,7 @@ BATCH_SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 FOLDS = 5
+BUCKETS = 256
 
 
 def settle(spark: SparkSession) -> SparkSession:
@@ -39,28 +41,55 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a frame to the shared folder and read it again: computed once, and safe when executors are lost."""
-    path = run_dir(df.sparkSession, purpose)
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame and read it again: computed once, and safe when executors are lost."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``stored`` in a folder of its own under the shared one."""
+    return stored(df, run_dir(df.sparkSession, purpose))
+
+
+class Scratch:
+    """Written frames of one computation, in one folder under the shared one that goes when the computation is done."""
+
+    def __init__(self, spark: SparkSession, purpose: str) -> None:
+        self.spark, self.root, self.count = spark, run_dir(spark, purpose), 0
+
+    def written(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        return stored(df, f"{self.root}/{self.count}")
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete the files of frames that are not read any more, or of all."""
+        for path in {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()} if frames else {self.root}:
+            delete(self.spark, path)
+
+
+def learnable(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the ids that may be learned from: neither held out nor without a label.
+
+    An id with several labels takes their mean, rounded.
+    """
+    own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
+    return own.groupBy("doc_id").agg(F.round(F.avg(label)).cast("int").alias("label"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> DataFrame:
     """At most ``per_class`` labelled texts of each class of ``label`` as (doc_id, text, label), chosen by a hash of the id.
 
-    A doc_id with several labels takes their mean, rounded; with several texts, the smallest. Rows without id, text or
-    label, held-out rows and texts over ``max_chars`` are not learned from. The ids are chosen before the texts are read, so
-    the join's small side has at most ``per_class`` rows a class and is broadcast.
+    Ids are those of ``learnable`` that have a text of at most ``max_chars``; where there are ``per_class`` of a class, so many are
+    taken. Of an id's several texts the smallest counts. Ids are ranked within buckets of their hash first and then among the buckets'
+    best, so no task sorts a class as a whole; at most ``per_class`` ids a class are broadcast to read their texts.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (
-        labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id")
-        .agg(F.round(F.avg(label)).cast("int").alias("label"))
-        .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= per_class)
-        .select("doc_id", "label")
-    )
-    texts = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", "text")
-    return texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    usable = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
+    hashed = F.xxhash64("doc_id")
+    ids = learnable(labels, label).join(usable.select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = ids.withColumns({"_hash": hashed, "_bucket": F.pmod(hashed, F.lit(BUCKETS))})
+    for keys in (["label", "_bucket"], ["label"]):
+        order = Window.partitionBy(*keys).orderBy("_hash", "doc_id")
+        ids = ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_class).drop("_rank")
+    chosen = F.broadcast(ids.select("doc_id", "label"))
+    return usable.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

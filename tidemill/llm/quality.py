@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import labelled_sample
+from tidemill.llm.common import labelled_sample, learnable
 
 BITS = 18
 PER_CLASS = 3000
@@ -110,7 +110,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", bits: int
 
     sample = labelled_sample(docs, labels, label, PER_CLASS, MAX_CHARS)
     rows = sample.select("doc_id", "label", hashed("text").alias("f")).collect()
-    usual = {r[label]: r["count"] for r in labels.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
+    usual = {r.label: r["count"] for r in learnable(labels, label).groupBy("label").count().collect()}
     rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
     found = {y: sum(r.label == y for r in rows) for y in (0, 1)}
     share = {y: usual.get(y, 0) / max(1, sum(usual.values())) * len(rows) / max(1, found[y]) for y in (0, 1)}

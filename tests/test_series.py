@@ -174,3 +174,39 @@ def test_relabel(spark):
     assert got == whole
     got = {r.raw: (r.metric, r.labels) for r in alerts.relabel(df, rules).collect()}
     assert got == whole | {"xa<t=Two><>Rate": ("x_rate_y", {"kind": "Two"})}
+
+
+def finite_windows(data, w):
+    """Every row's window over finite samples, in the order of time and value."""
+    for name, at, _ in data:
+        yield name, at, sorted((t, v) for n, t, v in data if n == name and at - timedelta(seconds=w) < t <= at and v is not None and np.isfinite(v))
+
+
+@pytest.mark.parametrize("bucket", [None, 60, 500])
+def test_gaps_and_peers(spark, bucket):
+    rng = random.Random(11)
+    odd = [None, float("nan"), float("inf"), float("-inf")]
+    data = [(rng.choice("ab"), START + timedelta(seconds=rng.randrange(400)), rng.choice([*odd, *[float(rng.randrange(9)) for _ in range(9)]])) for _ in range(300)]
+    data += [("gaps", START + timedelta(seconds=s), rng.choice(odd)) for s in range(9)] + [("one", START, 3.0), ("one", START, 5.0), ("late", START, None)]
+    data += [("late", START + timedelta(seconds=70), 1.0)]
+    df = spark.createDataFrame(data, "name string, ts timestamp_ntz, value double").repartition(3)
+    want = {"increase": {}, "delta": {}, "deriv": {}}
+    for name, at, inside in finite_windows(data, 60):
+        two, values = len(inside) >= 2, [v for _, v in inside]
+        times = [(t - START).total_seconds() for t, _ in inside]
+        steps = sum(b - a if b >= a else b for a, b in zip(values, values[1:]))
+        want["increase"][name, at] = steps if two else None
+        want["delta"][name, at] = values[-1] - values[0] if two else None
+        want["deriv"][name, at] = np.polyfit(times, values, 1)[0] if two and len(set(times)) > 1 else None
+    for name, made in (("increase", series.increase), ("delta", series.delta), ("deriv", series.deriv)):
+        got = made(df, ["name"], "ts", "value", 60, bucket=bucket)
+        assert got.count() == len(data)
+        close(by_key(got, name), want[name])
+
+
+def test_thresholds_over_what_is_no_number(spark):
+    df = spark.createDataFrame([("a", START, v) for v in (1.0, 9.0, None, float("nan"), float("inf"))], "name string, ts timestamp_ntz, value double")
+    assert sorted(r.value for r in alerts.threshold(df, ">", 5).collect()) == [9.0, float("inf")]
+    rising = [("a", START + timedelta(seconds=i), v) for i, v in enumerate([6.0, None, float("nan"), 8.0, 9.0])]
+    df = spark.createDataFrame(rising, "name string, ts timestamp_ntz, value double")
+    assert [r.value for r in alerts.lag_growing(df, ["name"], bound=5, window=60).orderBy("ts").collect()] == [8.0, 9.0]

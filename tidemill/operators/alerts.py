@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill import fixed
 from tidemill.functions.clock import from_micros, micros
-from tidemill.operators.series import SECOND, deriv, sum_by
+from tidemill.operators.series import deriv, finite, SECOND, sum_by
 
 _OPS = {
     ">": lambda a, b: a > b,
@@ -26,8 +26,8 @@ def compare(value: Column, op: str, bound: float) -> Column:
 
 
 def threshold(df: DataFrame, op: str, bound: float, value: str = "value") -> DataFrame:
-    """Samples on the alerting side of the bound."""
-    return df.where(compare(F.col(value), op, bound))
+    """Samples on the alerting side of the bound; what is no number is on neither side."""
+    return df.where(compare(F.col(value), op, bound) & ~F.isnan(F.col(value).cast("double")))
 
 
 def ratio(a: DataFrame, b: DataFrame, on: list[str], value: str = "value") -> DataFrame:
@@ -60,8 +60,11 @@ def match_labels(df: DataFrame, labels: str | None = None, **matchers: str | tup
 def lag_growing(
     df: DataFrame, labels: list[str], ts: str = "ts", value: str = "value", bound: float = fixed.LAG_BOUND, window: int = 300
 ) -> DataFrame:
-    """Times at which the summed lag is above the bound and rising: its slope over the window is positive."""
-    total = sum_by(df, labels, ts, value).withColumn(value, F.col(value).cast("double"))
+    """Times at which the summed lag is above the bound and rising: its slope over the window is positive.
+
+    Values that are missing or not finite are left out of the sums.
+    """
+    total = sum_by(df.where(finite(F.col(value))), labels, ts, value).withColumn(value, F.col(value).cast("double"))
     slope = deriv(total, labels, ts, value, window)
     return threshold(total, ">", bound, value).join(slope.where(F.col("deriv") > 0), [*labels, ts])
 

@@ -3,6 +3,10 @@
 They compare the samples inside the window ``(t - w, t]`` that ends at each sample, without extrapolating to the
 window's edges. A window with fewer than two samples gives NULL.
 
+A row whose value is missing, not a number or infinite is a gap: it counts as no sample, and its own result is that of the samples
+in its window. Samples of one series and time are peers: they come in the order of their values, all of them lie in a window
+that ends at their time, and so they have one result.
+
 A series may hold a large part of all samples, so no operator here puts a whole series into one task. Time is cut into
 buckets, each bucket also gets copies of the samples that lie up to one window before it, and windows are computed per
 series and bucket. The copies are dropped again, and every result is exactly that of the uncut series.
@@ -35,39 +39,55 @@ def _cut(df: DataFrame, labels: list[str], ts: str, value: str, window: int, wid
     return homed.withColumn(_BUCKET, F.explode(buckets))
 
 
+def finite(value: Column) -> Column:
+    """Whether a value is a sample: there, a number and not infinite."""
+    number = value.cast("double")
+    return F.coalesce(~F.isnan(number) & (F.abs(number) < float("inf")), F.lit(False))
+
+
 def _ends(
     df: DataFrame, labels: list[str], ts: str, value: str, window: int, bucket: int | None, totals: dict[str, Column]
 ) -> DataFrame:
-    """Every sample with what the running ``totals`` are at itself (``last``) and at its window's first sample (``first``).
+    """Every row with what the running ``totals`` are at its last peer (``last``) and at its window's first sample (``first``).
 
     ``totals`` are expressions over the sample's value ``__v``, the value before it ``__before`` (NULL for the bucket's
-    first) and the seconds since the bucket began ``__x``; each is summed up along the bucket. Both structs also hold
-    the position ``n``, the value ``v`` and the seconds ``t``.
+    first) and the seconds since the bucket began ``__x``; each is summed up along the bucket's samples, gaps left out. Both structs
+    also hold the number of samples ``n``, the value ``v`` and the seconds ``t``.
     """
     width = (bucket or BUCKET_WINDOWS * window) * SECOND
-    along = Window.partitionBy(*labels, _BUCKET).orderBy(_US)
+    along = Window.partitionBy(*labels, _BUCKET).orderBy(_US, F.col("__v").asc_nulls_first())
     running = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     seconds = (F.col(_US) - F.col(_BUCKET) * F.lit(width)).cast("double") / SECOND
-    placed = _cut(df, labels, ts, value, window, width).withColumns({"__before": F.lag("__v").over(along), "__x": seconds})
-    summed = placed.withColumns({f"__sum_{name}": F.sum(total).over(running) for name, total in totals.items()}) if totals else placed
+    cut = _cut(df, labels, ts, value, window, width)
+    # A gap's value is NULL from here on.
+    placed = cut.withColumn("__v", F.when(finite(F.col("__v")), F.col("__v"))).withColumns(
+        {"__before": F.last("__v", ignorenulls=True).over(earlier), "__x": seconds}
+    )
+    sample = F.col("__v").isNotNull()
+    sums = {f"__sum_{name}": F.sum(F.when(sample, total)).over(running) for name, total in totals.items()}
+    summed = placed.withColumns({"__n": F.count("__v").over(running), "__seen": F.last("__v", ignorenulls=True).over(running), **sums})
     state = F.struct(
-        F.row_number().over(along).alias("n"),
-        F.col("__v").alias("v"),
+        F.col("__n").alias("n"),
+        F.col("__seen").alias("v"),
         F.col("__x").alias("t"),
-        *[F.col(f"__sum_{name}").alias(name) for name in totals],
+        *[F.coalesce(F.col(f"__sum_{name}"), F.lit(0)).alias(name) for name in totals],
     )
-    marked = summed.withColumn("__state", state)
-    # Each sample also places a mark at the (open) start of its window. Backwards in time, the sample seen last before
-    # reaching the mark is the window's first one.
+    # The state at the last of the peers has counted the most samples.
+    peers = Window.partitionBy(*labels, _BUCKET, _US)
+    marked = summed.withColumn("__state", state).withColumn("__last", F.max("__state").over(peers))
+    # Each row also places a mark at the (open) start of its window. Backwards in time, the sample seen last before
+    # reaching the mark is the window's first one; of the samples of one time the last one is seen first.
     none = F.lit(None)
-    sample = F.struct(F.col(_US).alias("at"), F.lit(1).alias("kind"), F.col("__state").alias("seen"), none.alias("last"))
+    point = F.struct(F.col(_US).alias("at"), F.lit(1).alias("kind"), F.col("__state").alias("seen"), none.alias("last"))
     mark = F.struct(
-        (F.col(_US) - window * SECOND).alias("at"), F.lit(0).alias("kind"), none.alias("seen"), F.col("__state").alias("last")
+        (F.col(_US) - window * SECOND).alias("at"), F.lit(0).alias("kind"), none.alias("seen"), F.col("__last").alias("last")
     )
-    both = F.when(F.col(_BUCKET) == F.col(_HOME), F.array(sample, mark)).otherwise(F.array(sample))
+    home = F.when(F.col(_BUCKET) == F.col(_HOME), F.array(mark)).otherwise(F.array())
+    both = F.when(sample, F.concat(F.array(point), home)).otherwise(home)
     backwards = (
         Window.partitionBy(*labels, _BUCKET)
-        .orderBy(F.col("e.at").desc(), F.col("e.kind").asc())
+        .orderBy(F.col("e.at").desc(), F.col("e.kind").asc(), F.col("e.seen.n").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     points = marked.select(*labels, ts, _BUCKET, F.explode(both).alias("e"))
@@ -80,6 +100,7 @@ def _growth(name: str) -> Column:
 
 
 def _two() -> Column:
+    """At least two samples in the window. Without any, the first sample seen lies after the row and has counted more."""
     return _growth("n") >= 1
 
 

@@ -90,6 +90,13 @@ FRAMES: dict[str, str] = {
         select event_type as series, cast(user_id % 2 as int) as instance, ts, value as gauge,
                cast(event_id % 1000 as double) as counter
         from {events}""",
+    "gaps": """
+        select event_type as series, cast(user_id % 2 as int) as instance, @HOUR as ts,
+               case when event_id % 7 = 0 then null when event_id % 11 = 0 then cast('NaN' as double)
+                    when event_id % 13 = 0 then cast('Infinity' as double) else value end as gauge,
+               case when event_id % 5 = 0 then null when event_id % 9 = 0 then cast('NaN' as double)
+                    else cast(event_id % 1000 as double) end as counter
+        from {events}""",
     "lag": """
         select event_type as series, cast(user_id % 2 as int) as instance, @HOUR as ts,
                cast(sum(cast(value as decimal(12,2))) as double) as value

@@ -66,6 +66,67 @@ def metric_deriv(shop: Shop) -> DataFrame:
     return made.withColumn("deriv", F.round("deriv", 7) + 0.0)
 
 
+# Samples with gaps and peers: positions in the order (time, value), and each time's first and last position in its window.
+_GAPS = f"""
+    with f as (select series, instance, ts, {{v}} as v, {_SECONDS} as x,
+                      row_number() over (partition by series, instance order by ts, {{v}}) as n
+               from gaps where {{v}} is not null and isfinite({{v}})),
+         d as (select *, case when b is null then 0 when v >= b then v - b else v end as step
+               from (select *, lag(v) over (partition by series, instance order by n) as b from f)),
+         c as (select *, sum(step) over (partition by series, instance order by n) as total from d),
+         t as (select distinct series, instance, ts from gaps),
+         r as (select t.series, t.instance, t.ts, min(n) as lo, max(n) as hi, count(n) as samples,
+                      regr_slope(f.v, f.x) as slope
+               from t left join f on t.series = f.series and t.instance = f.instance and f.ts <= t.ts and f.ts > t.ts - interval 6 hour
+               group by all)
+    select g.series, g.instance, g.ts, {{result}}
+    from gaps g join r on g.series = r.series and g.instance = r.instance and g.ts = r.ts
+    left join c a on r.series = a.series and r.instance = a.instance and r.lo = a.n
+    left join c z on r.series = z.series and r.instance = z.instance and r.hi = z.n"""
+
+
+def _over_gaps(value: str, result: str) -> str:
+    return _GAPS.format(v=value, result=result)
+
+
+@query(_over_gaps("counter", "round(case when samples >= 2 then z.total - a.total end, 6) as increase"), ("gaps",))
+def metric_increase_gaps(shop: Shop) -> DataFrame:
+    """Hourly counters with missing values, NaN and several samples of one time."""
+    made = series.increase(shop.frame("gaps"), LABELS, "ts", "counter", SIX_HOURS)
+    return made.withColumn("increase", F.round("increase", 6))
+
+
+@query(_over_gaps("counter", "round(case when samples >= 2 then z.total - a.total end / 21600, 9) as rate"), ("gaps",))
+def metric_rate_gaps(shop: Shop) -> DataFrame:
+    return series.rate(shop.frame("gaps"), LABELS, "ts", "counter", SIX_HOURS).withColumn("rate", F.round("rate", 9))
+
+
+@query(_over_gaps("gauge", "round(case when samples >= 2 then z.v - a.v end / 360, 6) + 0.0 as delta"), ("gaps",))
+def metric_delta_gaps(shop: Shop) -> DataFrame:
+    made = series.delta(shop.frame("gaps"), LABELS, "ts", "gauge", SIX_HOURS, per=60)
+    return made.withColumn("delta", F.round("delta", 6) + 0.0)
+
+
+@query(_over_gaps("gauge", "round(case when samples >= 2 then slope end, 9) + 0.0 as deriv"), ("gaps",))
+def metric_deriv_gaps(shop: Shop) -> DataFrame:
+    made = series.deriv(shop.frame("gaps"), LABELS, "ts", "gauge", SIX_HOURS)
+    return made.withColumn("deriv", F.round("deriv", 9) + 0.0)
+
+
+@query(
+    """with l as (select series, ts, sum(gauge) as value from gaps where gauge is not null and isfinite(gauge) group by all),
+            w as (select l.series, l.ts, l.value, count(*) as samples,
+                         regr_slope(k.value, (epoch_us(k.ts) - 1704067200000000) / 1e6) as deriv
+                  from l join l k on l.series = k.series and k.ts <= l.ts and k.ts > l.ts - interval 6 hour group by all)
+       select series, ts, round(value, 6) as value, round(deriv, 9) as deriv from w where samples >= 2 and value > 300 and deriv > 0""",
+    ("gaps",),
+)
+def alert_lag_growing_gaps(shop: Shop) -> DataFrame:
+    """Summed lag that is high and rises, over samples of which some are missing or no numbers."""
+    found = alerts.lag_growing(shop.frame("gaps"), ["series"], "ts", "gauge", bound=300, window=SIX_HOURS)
+    return found.select("series", "ts", F.round("gauge", 6).alias("value"), F.round("deriv", 9).alias("deriv"))
+
+
 @query("select series, ts, round(sum(value), 6) as value from lag group by all", ("lag",))
 def metric_sum_by(shop: Shop) -> DataFrame:
     return series.sum_by(shop.frame("lag"), ["series"]).withColumn("value", F.round("value", 6))

@@ -31,7 +31,7 @@ def test_stages(spark):
     third = corpus_pipeline.drop_near_copies(spark, second, SF)
     kept, given = rows(third), rows(second)
     number = {(r[0], r[1]): i for i, r in enumerate(given)}
-    component = {i: c for i, _, c in groups([(number[r[0], r[1]], r[1]) for r in given])}
+    component = {i: c for i, _, c in groups([(number[r[0], r[1]], r[1]) for r in given], 5, 80)}
     assert third.columns == docs.columns and set(kept) <= set(given)
     assert sorted(component[number[r[0], r[1]]] for r in kept) == sorted(set(component.values()))
     fourth = corpus_pipeline.drop_contaminated(spark, third, SF)
@@ -47,9 +47,22 @@ def test_wordless_documents_stay_apart(spark):
     assert len(kept) == 5 and sum(r.text is not None and "b" in r.text for r in kept) == 1
 
 
+def test_clashing_columns_and_empty_tables(spark):
+    clash = "doc_id long, text string, _key string, `a.b` int, _row int, _text string, n_shingles int, component_id string, lang string, _found int, severity int"
+    more = ("kept", 5, 6, "t", 7, "c", "en", 8, 9)
+    docs = spark.createDataFrame([(1, "one two three four five six", *more), (2, "one two three four five six", *more), (3, "other words are in this", *more)], clash)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SF)
+        assert kept.columns == docs.columns
+        assert {tuple(r)[2:] for r in kept.collect()} <= {more}
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    assert corpus_pipeline.drop_near_copies(spark, docs, SF).count() == 2
+    assert corpus_pipeline.pack(spark, docs.limit(0), SF).count() == 0
+
+
 def test_run_and_registered(spark):
     ten = sorted(n for n in entry.queries() if n.startswith("op"))
-    assert [int(n[2:].split("_")[0]) for n in sorted(ten, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in sorted(ten, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES][-1] == "pack" and len(corpus_pipeline.STAGES) == 5
     assert entry.queries()["pipeline"](spark, SF).count() > 100
 

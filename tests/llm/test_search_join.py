@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
+import os
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill.llm import decontaminate, jaccard, topk
+from tidemill.llm.common import Scratch
 
 VECTORS = "vec_id long, embedding array<float>, rank string"
 DOCS = "doc_id long, text string, n_words string, key string"
@@ -51,14 +55,14 @@ def test_bounds_hold():
         assert (topk._statistics(a, width) @ topk._statistics(b, width).T >= a @ b.T - 1e-6).all()
 
 
-def shingles(text):
+def shingles(text, size=4):
     w = re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
-    return frozenset(tuple(w[i : i + 4]) for i in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i : i + size]) for i in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])
 
 
-def groups(rows):
+def groups(rows, size=4, num=85):
     """(doc_id, size, component) of every row by comparing all pairs."""
-    sets = [(r[0], shingles(r[1])) for r in rows]
+    sets = [(r[0], shingles(r[1], size)) for r in rows]
     up = list(range(len(sets)))
 
     def top(i):
@@ -68,7 +72,7 @@ def groups(rows):
 
     for i, (_, a) in enumerate(sets):
         for j, (_, b) in enumerate(sets[:i]):
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= num * len(a | b):
                 up[max(top(i), top(j))] = min(top(i), top(j))
     low = {}
     for i, (d, _) in enumerate(sets):
@@ -103,8 +107,77 @@ def test_jaccard_components(spark, seed):
     assert got == groups(rows)
 
 
+@pytest.mark.parametrize(("size", "num"), [(5, 80), (2, 50)])
+def test_jaccard_components_of_other_sizes(spark, size, num):
+    rows = near_copies(size)
+    got = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string"), size=size, at=jaccard.Threshold(num, 100)).collect()
+    assert sorted(map(tuple, got), key=repr) == groups(rows, size, num)
+
+
+def test_jaccard_links(spark):
+    rows = [*near_copies(3), (900, None), (901, "one two"), (None, "alone w1 w2 w3 w4"), (902, "alone w1 w2 w3 w4")]
+    rows = [*rows, rows[3], rows[3]]
+    pairs, member = jaccard.links(spark.createDataFrame([(*r, "clash", "clash") for r in rows], DOCS), at=jaccard.Threshold(1, 2))
+    sets = {shingles(t) for _, t in rows} - {frozenset()}
+    want = {}
+    for a, b in itertools.combinations(sets, 2):
+        if 2 * len(a & b) >= len(a | b):
+            want[frozenset((a, b))] = (len(a & b), len(a | b))
+    text = dict(rows)
+    classes = {}
+    for r in member.collect():
+        own = shingles("alone w1 w2 w3 w4" if r.doc_id is None else text[r.doc_id])
+        assert r.n_shingles == len(own) and r.n_links == sum(own in p for p in want) and (r.class_id is None) == (not own)
+        assert classes.setdefault(r.class_id, own) == own
+    assert member.count() == len(rows) and len(set(classes.values())) == len(classes)
+    found = pairs.collect()
+    assert all(p.class_a < p.class_b for p in found) and len(found) == len(want) > 20
+    assert {frozenset((classes[p.class_a], classes[p.class_b])): (p.n_common, p.n_union) for p in found} == want
+
+
+def family(n, words=300):
+    """Copies of one text with a tenth of it changed at places of their own, so most are linked with the text and not with each other."""
+    rng = random.Random(n)
+    base = [f"b{i}" for i in range(words)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, n):
+        copy = list(base)
+        for at in rng.sample(range(words), 6):
+            copy[at] = f"x{rng.random()}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_a_pair_meets_once_however_many_lists_it_shares(spark):
+    rows = family(80)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scratch = Scratch(spark, "test")
+    join = jaccard._Join(df, "text", "doc_id", 4, jaccard.AT, scratch)
+    met = []
+    join.verified = lambda pairs: met.append(pairs) or pairs
+    join.met(join.shared.select("token", "key", "place").withColumn("label", F.col("key")))
+    plain = join.shared.groupBy("token").count().selectExpr("sum(count * (count - 1) / 2) as n").first().n
+    text = met[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "arrays_overlap" in text
+    member = spark.read.parquet(f"{scratch.root}/{scratch.count}")
+    a, b = (member.select("token", F.col("key").alias(f"{s}key"), F.col("earlier").alias(f"{s}earlier")) for s in "ab")
+    once = a.join(b, "token").where((F.col("akey") < F.col("bkey")) & ~F.arrays_overlap("aearlier", "bearlier"))
+    assert once.count() < 0.25 * plain and once.count() < 3 * once.select("akey", "bkey").distinct().count()
+    scratch.drop()
+    assert sorted(map(tuple, jaccard.components(df).collect()), key=repr) == groups(rows)
+
+
+def test_jaccard_leaves_only_its_result(spark, tmp_path):
+    before = set(os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    jaccard.components(spark.createDataFrame(near_copies(4), "doc_id long, text string"))
+    left = set(os.listdir(spark.conf.get("spark.checkpoint.dir"))) - before
+    assert [n.split("-")[0] for n in left] == ["components"]
+
+
 def test_jaccard_empty(spark):
-    assert jaccard.components(spark.createDataFrame([], DOCS)).count() == 0
+    empty = spark.createDataFrame([], DOCS)
+    assert jaccard.components(empty).count() == 0
+    assert [df.count() for df in jaccard.links(empty)] == [0, 0]
 
 
 def test_every_light_pair_shares_a_subset():

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemill import fixed
 from tidemill.functions import stamp
 from tidemill.operators.dedup import top_per_key
+from tidemill.operators.factors import top_items
 from tidemill.session import ensure_checkpoint_dir
 
 
@@ -78,8 +79,10 @@ def flatten_recommendations(recommendations: DataFrame) -> DataFrame:
 def recommend_all(
     model: ALSModel, now: datetime, k: int = fixed.RECOMMENDATIONS_PER_USER, version: str = fixed.ALS_MODEL_VERSION
 ) -> DataFrame:
-    """The k best items of every user, with score, model version and time."""
-    return stamp(flatten_recommendations(model.recommendForAllUsers(k)), version, now)
+    """The k best items of every user, with score, model version and time; exact, without scoring all pairs."""
+    best, _ = top_items(model.userFactors, model.itemFactors, k)
+    typed = best.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), F.col("score").cast("float"))
+    return stamp(typed, version, now)
 
 
 def rmse(model: ALSModel, test: DataFrame) -> DataFrame:

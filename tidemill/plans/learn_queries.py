@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill import fixed
 from tidemill.functions import cosine_distance, similarity
-from tidemill.operators import features, recommend, search
+from tidemill.operators import factors, features, recommend, search
 from tidemill.operators import similarity as vectors
 from tidemill.plans.catalog import Shop, query
 from tidemill.plans.frames import NOW
@@ -92,6 +92,26 @@ def ranking_by_item_family(shop: Shop) -> DataFrame:
     return metrics.withColumns({c: F.round(c, 6) for c in ("precision_at_k", "recall_at_k")})
 
 
+@query(
+    """with u as (select vec_id, list_transform(embedding[1:10], lambda x: floor(16 * cast(x as double))) as v from embeddings),
+            i as (select vec_id, list_transform(embedding[11:20], lambda x: floor(16 * cast(x as double)) * (1 + 40 // (1 + vec_id % 97))) as v
+                  from embeddings)
+       select user_id, item_id, score from (
+           select u.vec_id as user_id, i.vec_id as item_id, list_dot_product(u.v, i.v) as score,
+                  row_number() over (partition by u.vec_id order by list_dot_product(u.v, i.v) desc, i.vec_id) as rn
+           from u, i) where rn <= 10"""
+)
+def recommend_by_factors(shop: Shop) -> DataFrame:
+    """The best items of every user for factors taken from stored vectors, some items' much longer than the others'."""
+    rows = shop.table("embeddings")
+    whole = lambda x: F.floor(16 * x.cast("double")).cast("double")
+    weight = 1 + F.floor(40 / (1 + F.col("vec_id") % 97))
+    users = rows.select(F.col("vec_id").alias("id"), F.transform(F.slice("embedding", 1, 10), whole).alias("features"))
+    items = rows.select(F.col("vec_id").alias("id"), F.transform(F.slice("embedding", 11, 10), lambda x: whole(x) * weight).alias("features"))
+    found, _ = factors.top_items(users, items, first=64, most=512)
+    return found
+
+
 # Vectors --------------------------------------------------------------------------------------------------------------
 
 _COS = "list_cosine_similarity(cast({a} as double[]), cast({b} as double[]))"

@@ -9,11 +9,13 @@ from tidemill.operators import sales
 from tidemill.plans.catalog import Shop, query
 from tidemill.plans.learn_queries import SEARCH, bm25_sql
 from tidemill.plans.frames import NOW, SENTINEL, derive, source
+from tidemill.schemas import PURCHASE_EVENT
 from tidemill.session import run_dir, stream_session
 from tidemill.sinks import replace_table
+from tidemill.sources.events import ISO_MICROS, read_event_stream
 from tidemill.sources.tables import read_dimension
 from tidemill.streaming import changes as keyed
-from tidemill.streaming import logins, lookup, purchases, runner
+from tidemill.streaming import intake, logins, lookup, purchases, runner
 from tidemill.streaming import search as live_search
 
 _ALERTS = """
@@ -277,3 +279,45 @@ def login_alerts_live(shop: Shop) -> DataFrame:
     late.write.mode("append").parquet(users.folder)
     logins.login_alerts_live(users.stream(), users.now, run.out, run.checkpoint, window="1 day")
     return lookup.read_enriched(shop.spark, run.out)
+
+
+# A row of the first half with an id like this is delivered with the second half.
+_HELD_BACK = "id % 10 = 3"
+_TAKEN = """select 'rows' as kind, cast({id} as bigint) as id, user_id, item_id, coalesce(campaign_id, '') as campaign_id, cast(1 as smallint) as status,
+    quantity, cast(purchase_price as double) as purchase_price, case when id % 4 = 0 then false else deleted end as deleted, created_at"""
+
+
+@query(
+    f"""with e as (select *, created_at <= timestamp '{MIDDLE}' as early, id % 50 = 7 as broken from purchases),
+             first_half as (select max(created_at) - interval 1 day as bound from e where early and not ({_HELD_BACK}) and not broken),
+             t as (select * from e, first_half where not broken),
+             m as (select *, early and {_HELD_BACK} and created_at < bound as late from t)
+        {_TAKEN.format(id="case when id % 2 = 0 then 0 else id end").replace("'rows' as kind", "case when late then 'late' else 'rows' end as kind")}
+        from m
+        union all
+        select 'bad', null, null, null, null, null, null, null, null, null from e where broken""",
+    ("purchases",),
+)
+def stream_source_defaults(shop: Shop) -> DataFrame:
+    """JSON events as a producer writes them: fields left out get their defaults, bad lines and late rows are set aside."""
+    run = _Run(shop, "intake")
+    bought, folder = shop.frame("purchases"), f"{run_dir(shop.spark, 'topic')}"
+    # Half of the events have no id, a quarter no mark of deletion, and none a status or a time of change.
+    told = F.to_json(
+        F.struct(
+            F.when(F.col("id") % 2 != 0, F.col("id")).alias("id"), "user_id", "item_id", "campaign_id", "quantity",
+            F.col("purchase_price").cast("string").alias("purchase_price"), F.when(F.col("id") % 4 != 0, F.col("deleted")).alias("deleted"), "created_at",
+        ),
+        {"timestampNTZFormat": ISO_MICROS},
+    )
+    line = F.when(F.col("id") % 50 == 7, F.concat(F.lit('{"user_id": "no number", '), F.expr("substr(value, 2)"))).otherwise(F.col("value"))
+    lines = bought.withColumn("value", told).withColumn("value", line)
+    early = (F.col("created_at") <= F.lit(MIDDLE).cast("timestamp_ntz")) & ~F.expr(_HELD_BACK)
+    for which in (early, ~early):
+        lines.where(which).select("value").write.mode("append").text(folder)
+        stream = read_event_stream(run.spark, folder, PURCHASE_EVENT, defaults={"id": 0, "campaign_id": "", "status": 1, "deleted": False}, corrupt=True)
+        intake.take_in(stream, run.out, run.checkpoint, "created_at", "1 day")
+    columns = ("id", "user_id", "item_id", "campaign_id", "status", "quantity", "purchase_price", "deleted", "created_at")
+    kinds = [intake.read_taken(shop.spark, run.out, kind).withColumn("kind", F.lit(kind)) for kind in ("rows", "late", "bad")]
+    kinds[2] = kinds[2].select("kind", *[F.lit(None).cast(kinds[0].schema[c].dataType).alias(c) for c in columns])
+    return kinds[0].select("kind", *columns).unionByName(kinds[1].select("kind", *columns)).unionByName(kinds[2])

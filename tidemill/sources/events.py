@@ -59,15 +59,20 @@ def read_event_stream(
     since: datetime | None = None,
     files_per_batch: int | None = None,
     defaults: dict[str, object] | None = None,
+    corrupt: bool = False,
 ) -> DataFrame:
     """A folder of event files as a stream, from the first file on or only files written at or after ``since``.
 
-    ``defaults`` fills declared fields that producers leave out.
+    ``defaults`` fills declared fields that producers leave out. With ``corrupt`` JSON lines that do not parse under the schema are
+    kept as text in the column ``_corrupt_record``, whose other fields hold what could be read.
     """
-    reader = spark.readStream.format(fmt).schema(schema)
+    kept = _with_corrupt(schema) if corrupt else schema
+    reader = spark.readStream.format(fmt).schema(kept)
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     stream = reader.load(path)
     if since is not None:
-        stream = stream.where(F.col("_metadata.file_modification_time") >= F.lit(since)).select(*schema.names)
-    return with_defaults(stream, schema, **defaults) if defaults else stream
+        stream = stream.where(F.col("_metadata.file_modification_time") >= F.lit(since)).select(*kept.names)
+    return with_defaults(stream, kept, **defaults) if defaults else stream

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import string
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -164,14 +165,42 @@ def test_main_text(spark):
         assert part not in got[1]
     assert (got[2], got[3], got[4], got[8]) == ("", "", "bare > text", "") and got[5].count("words") == 30_000
     assert html_extract.extract(df.limit(0), trees).count() == 0
+    # Names that say nothing: links and length tell the menu and the list of headlines.
+    plain = """<body><div class='c1'><a href='/'>Home</a> <a href='/n'>News</a> <a href='/s'>Sports</a> <a href='/w'>Weather today</a></div><div class='c2'>
+        <div class='c3'><h1>River floods the town</h1><p>The river rose two metres in the night, and by morning the square was under water.</p><p>Nobody was hurt, but
+        many shops will stay closed for weeks, the mayor said.</p></div><div class='c4'><a href='/1'>Storm warning for the coast</a><br><a href='/2'>New bridge
+        planned in the north</a><br><a href='/3'>Ten ways to save heat</a></div></div></body>"""
+    text = html_extract.extract(spark.createDataFrame([(1, plain)], "page_id long, html string"), trees).first().text
+    assert [b.split()[0] for b in text.split("\n\n")] == ["River", "The", "Nobody"]
 
 
 def test_only_hiding_attributes_hide():
-    seen = ['title="The hidden valley"', 'class="md hidden lg:block"', 'data-x="display:none"', "aria-label='aria-hidden=true'", 'aria-hidden="false"', 'style="--display:none-such"', 'href=/hidden']
-    gone = ["hidden", 'hidden=""', "id=x HIDDEN", 'style="color:red; display : none"', "style=display:none", "aria-hidden=true", "aria-hidden = 'true' class='a'", 'class="a"hidden']
+    seen = ['title="The hidden valley"', 'class="md hidden lg:block"', 'data-x="display:none"', "aria-label='aria-hidden=true'", 'aria-hidden="false"', 'style="--display:none-such"', 'href=/hidden', "aria-hidden=true", "aria-hidden = 'true' class='a'"]
+    gone = ["hidden", 'hidden=""', "id=x HIDDEN", 'style="color:red; display : none"', "style=display:none", 'class="a"hidden']
     assert [html_extract.parse(f"<div {a}>text</div>")[1].hidden for a in seen + gone] == [False] * len(seen) + [True] * len(gone)
 
 
+def all_text(page):
+    nodes = html_extract.parse(page)
+    return html_extract.text_of(nodes, html_extract.decode(nodes, np.full(len(nodes), 0.9)))
+
+
+def test_quotes_count_after_equals_only():
+    assert all_text("<p title=it's>One text here.</p><p>Two text, don't drop.</p>") == "One text here.\n\nTwo text, don't drop."
+    assert all_text("<p 'x>one</p><p it's=\"a > b\" y='c > d'>two</p><p = \"e>three</p>") == "one\n\ntwo\n\nthree"
+    assert all_text('<p class="open>one</p><p>two</p>') == "one\n\ntwo"  # a quote that never ends is no quote
+    assert all_text("a < b <3 </ x <!doctype> c <a href=/x/y/>link</a> d <br/>e") == "a < b <3 </ x c link d e"
+    assert all_text("<p>one</p><!-- <p>no</p>") == all_text("<p>one</p><a href='x' ") == "one"
+
+
+def test_long_and_broken_pages_take_little_time():
+    many = "<body>" + "<p>some words, more words.</p>" * 16_000 + "</body>"
+    for page in (many, "<a " * 100_000, "<a href='x' " * 40_000, "<a href=\"x' " * 40_000, "<!-- " * 100_000, "<" * 300_000, "<p a='" * 60_000 + ">", "</ " * 100_000):
+        began = time.process_time()
+        html_extract.features(html_extract.parse(page))
+        assert time.process_time() - began < 5
+
+
 def test_formulas_go_with_their_text():
     page = "<article><p>Mass is <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> here.</p><nav><math><mi>q</mi></math></nav></article>"
     nodes = html_extract.parse(page)

@@ -57,7 +57,9 @@ BOILER_NAMES = frozenset(
 )
 MAIN_NAMES = frozenset("article body content entry main post story text".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A tag as browsers read it: quotes count only after "=", and nothing is tried twice, so that no page takes long.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+|=)*+)>")
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 NAMED = frozenset("class id role itemprop aria-label".split())
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
@@ -79,6 +81,21 @@ LESSONS = (
     "<div class='reader-comments'><p>My dough never rises at all, whatever I do with it.</p></div><div id='footer'>Contact and terms</div></body>",
 )
 
+#: Pages whose names say nothing: what the classes "q" (boilerplate) and "z" (article) mark must be told by links, length and place.
+PLAIN_LESSONS = (
+    "<body><div class='q'><a href='/1'>Start</a> <a href='/2'>World</a> <a href='/3'>Money</a> <a href='/4'>Sport</a></div><div class='x'><div class='z'>"
+    "<h1>The mill is open again</h1><p>After nine years of repairs the mill on the east bank grinds corn again, and the first flour was sold on Saturday.</p>"
+    "<p>The wheel, as <a href='/w'>the builders</a> say, is the largest in the county, and turns four times a minute when the water is high.</p>"
+    "<p>Visitors may see it from noon to five.</p></div><div class='q'><ul><li><a href='/5'>Bridge closed until spring after flood</a></li>"
+    "<li><a href='/6'>Council votes on new school next week</a></li><li><a href='/7'>Five walks for dry days in autumn</a></li></ul></div></div>"
+    "<div class='q'><p>Copyright 2020 The Valley Post. <a href='/8'>Terms</a> <a href='/9'>Privacy</a> <a href='/10'>Contact</a></p></div></body>",
+    "<body><div class='x'><ul class='q'><li><a href='/a'>Home</a></li><li><a href='/b'>About us</a></li><li><a href='/c'>Archive</a></li></ul><div class='x'><section class='z'>"
+    "<h2>Why leaves turn red</h2><p>In autumn the green of a leaf is taken back into the tree, and what is left shows its own colour.</p>"
+    "<p>Cold nights and bright days make the strongest red, because sugar stays in the leaf and feeds the dye.</p><ul><li>Maple turns first.</li>"
+    "<li>Oak turns late, and keeps its leaves.</li></ul></section><div class='q'><a href='/d'>Older</a> <a href='/e'>Newer</a></div></div>"
+    "<div class='q'>All rights reserved. <a href='/f'>Imprint</a></div></div></body>",
+)
+
 
 @dataclass
 class Node:
@@ -98,32 +115,44 @@ class Node:
 
 
 def attributes_of(attributes: str) -> tuple[list[str], bool]:
-    """Tokens of the naming attributes, and whether an attribute hides the element: hidden, aria-hidden=true or style with display:none."""
+    """Tokens of the naming attributes, and whether an attribute hides the element: hidden or style with display:none."""
     names, hidden = [], False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value[1:-1] if value[:1] in ('"', "'") else value
         if name in NAMED:
             names += [t.lower() for t in _TOKEN.findall(value)]
-        elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NO_DISPLAY.search(html.unescape(value)):
+        elif name == "hidden" or name == "style" and _NO_DISPLAY.search(html.unescape(value)):
             hidden = True
     return names, hidden
 
 
 def parse(page: str | None) -> list[Node]:
-    """Elements in page order, parents first; the first one is the page."""
+    """Elements in page order, parents first; the first one is the page.
+
+    What a "<" without a tag begins is text; a comment or a tag that never ends swallows the rest.
+    """
     nodes, open_ = [Node("page", -1, 0, [], False)], [0]
     at, size, page = 0, len(page or ""), page or ""
     while at < size:
-        m = _TAG.search(page, at)
-        text = page[at : m.start() if m else size]
-        if text:
-            nodes[open_[-1]].parts.append(text)
+        text, m, here = at, None, page.find("<", at)
+        while here >= 0:
+            after = page[here + 1 : here + 2]
+            if after in ("!", "?") and after or after.isascii() and after.isalpha() or after == "/" and page[here + 2 : here + 3].isalpha():
+                break
+            here = page.find("<", here + 1)
+        if text < (here if here >= 0 else size):
+            nodes[open_[-1]].parts.append(page[text : here if here >= 0 else size])
+        if here < 0:
+            break
+        if after in ("!", "?"):
+            end = page.find("-->", here + 4) if page.startswith("<!--", here) else page.find(">", here)
+            at = size if end < 0 else end + (3 if page.startswith("<!--", here) else 1)
+            continue
+        m = _TAG.match(page, here)
         if not m:
             break
         at = m.end()
         closing, tag, attributes = m.groups()
-        if tag is None:
-            continue
         tag = tag.lower()
         if closing:
             for i in range(len(open_) - 1, 0, -1):
@@ -158,7 +187,7 @@ def parse(page: str | None) -> list[Node]:
         nodes.append(Node(tag, up, nodes[up].depth + 1, named, hidden, nodes[up].inside or nodes[up].tag == "article"))
         nodes[-1].formula = tag == "math" or nodes[up].formula and tag not in BLOCKS and tag not in RAW
         nodes[up].parts.append(len(nodes) - 1)
-        if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
+        if tag in VOID or tag not in BLOCKS and _SELF_CLOSED.search(attributes):
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -187,32 +216,31 @@ def features(nodes: list[Node]) -> np.ndarray:
         total[nodes[i].parent] += total[i]
         elements[nodes[i].parent] += elements[i]
     rows = np.zeros((n, FEATURES))
-    boiler = np.zeros(n)
+    boiler, kids = np.zeros(n), np.zeros(n)
+    for node in nodes[1:]:
+        kids[node.parent] += not node.formula
     for i, node in enumerate(nodes):
-        kids = [p for p in node.parts if type(p) is not str and not nodes[p].formula]
-        up = nodes[node.parent] if i else node
         named = node.boilerplate + sum(t in BOILER_NAMES for t in node.names)
         boiler[i] = named + (boiler[node.parent] if i else 0)
         letters, words, stops, linked = total[i]
         around = total[node.parent] if i else total[i]
-        siblings = [p for p in up.parts if type(p) is not str and not nodes[p].formula]
         rows[i] = (
             np.log1p(letters), np.log1p(words), stops / (words + 1), linked / (letters + 1), letters / max(1.0, elements[i]), np.log1p(elements[i]),
-            node.depth, len(kids), len(siblings), (around[0] - letters) / (around[0] + 1), around[3] / (around[0] + 1),
+            node.depth, kids[i], kids[node.parent] if i else kids[0], (around[0] - letters) / (around[0] + 1), around[3] / (around[0] + 1),
             named, boiler[i], sum(t in MAIN_NAMES for t in node.names), node.tag in ("article", "main"),
             node.tag in ("p", "h1", "h2", "h3", "blockquote", "pre"), node.hidden,
         )
     return rows
 
 
-def marks(nodes: list[Node]) -> np.ndarray:
+def marks(nodes: list[Node], boiler: frozenset[str] = BOILER_NAMES, main: frozenset[str] = MAIN_NAMES) -> np.ndarray:
     """What the mark-up says: 1 article, 0 boilerplate, -1 neither."""
     out = np.full(len(nodes), -1)
     for i, node in enumerate(nodes):
         above = out[node.parent] if i else -1
-        if above == 0 or node.hidden or node.tag in SILENT or node.boilerplate or any(t in BOILER_NAMES for t in node.names):
+        if above == 0 or node.hidden or node.tag in SILENT or node.boilerplate or any(t in boiler for t in node.names):
             out[i] = 0
-        elif above == 1 or node.tag in ("article", "main", "html", "body") or any(t in MAIN_NAMES for t in node.names):
+        elif above == 1 or node.tag in ("article", "main", "html", "body") or any(t in main for t in node.names):
             out[i] = 1
     out[[i for i, node in enumerate(nodes) if node.formula]] = -1
     return out
@@ -257,9 +285,10 @@ def train(pages: DataFrame, html_col: str = "html", id_col: str = "page_id") ->
     sample = fit_for.orderBy("h").limit(SAMPLE_PAGES).select("html")
     rows = sample.select(F.explode(labelled("html")).alias("r")).select("r.label", "r.x").collect()
     points = [(r.label, Vectors.dense(r.x)) for r in rows]
-    for lesson in LESSONS:  # as heavy as a good part of the sample, however large that is
+    for lesson in (*LESSONS, *PLAIN_LESSONS):  # as heavy as a good part of the sample, however large that is
         nodes = parse(lesson)
-        own = [(float(y), Vectors.dense(x)) for x, y in zip(features(nodes), marks(nodes), strict=True) if y >= 0]
+        said = marks(nodes, frozenset("q"), frozenset("z")) if lesson in PLAIN_LESSONS else marks(nodes)
+        own = [(float(y), Vectors.dense(x)) for x, y in zip(features(nodes), said, strict=True) if y >= 0]
         points += own * max(1, len(rows) // (10 * len(own)))
     model = GBTClassifier(labelCol="label", featuresCol="x", maxIter=TREES, maxDepth=DEPTH, seed=7, cacheNodeIds=False).fit(
         spark.createDataFrame(points, ["label", "x"]).coalesce(2)

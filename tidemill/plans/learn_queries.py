@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill import fixed
 from tidemill.functions import cosine_distance, similarity
-from tidemill.operators import factors, features, recommend, search
+from tidemill.operators import cells, factors, features, recommend, search
 from tidemill.operators import similarity as vectors
 from tidemill.plans.catalog import Shop, query
 from tidemill.plans.frames import NOW
@@ -177,6 +177,44 @@ def vector_topk_approx(shop: Shop) -> DataFrame:
     return vectors.similar_approx(_as_queries(shop), shop.table("embeddings"))
 
 
+@query(
+    f"""select query_id, vec_id, round(d, 6) as distance from (
+            select q.vec_id as query_id, c.vec_id as vec_id, round(1 - {_COS.format(a="q.embedding", b="c.embedding")}, 12) as d,
+                   row_number() over (partition by q.vec_id
+                       order by round(1 - {_COS.format(a="q.embedding", b="c.embedding")}, 12), c.vec_id) as rn
+            from embeddings q, embeddings c) where rn <= 5"""
+)
+def vector_topk_cells(shop: Shop) -> DataFrame:
+    """Exact search over a stored index: cells are met as long as their bounds allow a nearer vector."""
+    root = run_dir(shop.spark, "cells")
+    cells.build(shop.table("embeddings"), root)
+    found, _ = cells.search(cells.Cells(shop.spark, root), _as_queries(shop), exact=True)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
+@query(
+    f"""select query_id, vec_id, round(d, 6) as distance from (
+            select q.vec_id as query_id, c.vec_id as vec_id, round(1 - {_COS.format(a="q.embedding", b="c.embedding")}, 12) as d,
+                   row_number() over (partition by q.vec_id
+                       order by round(1 - {_COS.format(a="q.embedding", b="c.embedding")}, 12), c.vec_id) as rn
+            from embeddings q, embeddings c) where rn <= 5"""
+)
+def vector_topk_all_cells(shop: Shop) -> DataFrame:
+    """The approximate search with every cell probed."""
+    root = run_dir(shop.spark, "cells")
+    cells.build(shop.table("embeddings"), root)
+    found, _ = cells.search(cells.Cells(shop.spark, root), _as_queries(shop), probe_groups=10_000, probes=1_000_000)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
+@query()
+def vector_topk_probed(shop: Shop) -> DataFrame:
+    """The approximate search over the stored index with its default probes; its recall is measured in the tests."""
+    root = run_dir(shop.spark, "cells")
+    cells.build(shop.table("embeddings"), root)
+    return cells.search(cells.Cells(shop.spark, root), _as_queries(shop))[0]
+
+
 @query()
 def embed_reviews(shop: Shop) -> DataFrame:
     """Vectors for the documents that have none yet: all of them, by hashed word weights."""

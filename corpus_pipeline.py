@@ -35,20 +35,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _kept(docs, lambda df: toxicity.grade(df, model, "_text"), ~F.col("toxic"))
 
 
+# Near copies: five words and a similarity of at least 0.8.
+SHINGLE, SIMILAR = 5, jaccard.Threshold(80, 100)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar ones; documents without words are similar to none and stay.
 
-    Rows go by a hash of id and text, as ids may be missing or repeated; of the rows that go, and of rows that are there
-    several times, only these hashes are joined with the documents.
+    Rows go by a 64-bit hash of id and text, as ids may be missing or repeated; of the rows that go, and of rows that are there
+    several times, only these hashes are joined with the documents, whose rows are carried as one value.
     """
     settle(spark)
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    found = written(jaccard.components(keyed, id_col="_key").where(F.col("n_shingles") > 0), "groups")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.xxhash64("doc_id", "text").alias("_key"), F.col("text").alias("_text"))
+    found = jaccard.components(keyed, "_text", "_key", SHINGLE, SIMILAR).where(F.col("n_shingles") > 0)
     extra = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_key")).distinct()
     again = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_key")).count().where("count > 1").select("_key")
-    once = keyed.join(extra.union(again), "_key", "left_anti")
-    first = keyed.join(again, "_key", "left_semi").dropDuplicates(["_key"])
-    return once.union(first).select(*docs.columns)
+    once = keyed.join(extra.union(again), "_key", "left_anti").select("_row")
+    first = keyed.join(again, "_key", "left_semi").dropDuplicates(["_key"]).select("_row")
+    return once.union(first).select("_row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

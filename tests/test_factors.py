@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 
 from tidemill.operators import factors
@@ -56,3 +59,21 @@ def test_few_items_and_rows_that_take_no_part(spark):
     assert run(spark, users[1:], items, 10)[0] == {}
     with pytest.raises(ValueError):
         factors.top_items(spark.createDataFrame(users, ROW), spark.createDataFrame(items, ROW), 0)
+
+
+def test_a_task_holds_few_scores_however_long_the_chunk():
+    class Chunk:
+        rng = np.random.default_rng(6)
+        value = (np.arange(20_000), rng.normal(size=(20_000, 4)))
+
+    n = 3_000
+    users = pd.DataFrame({"user_id": np.arange(n), "u": list(Chunk.rng.normal(size=(n, 4)))})
+    users["item_ids"], users["scores"] = [np.zeros(0, np.int64)] * n, [np.zeros(0)] * n
+    tracemalloc.start()
+    met = pd.concat(factors._meeting(Chunk, 3, -1.0)(iter([users])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 < 8 * n * 20_000
+    for r in met.iloc[::500].itertuples():
+        scores = Chunk.value[1] @ r.u
+        assert list(r.item_ids) == list(np.argsort(-scores)[:3]) and not r.open

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tidemill.session import run_dir
 
 FIRST, MOST = 2_048, 65_536  # items of the first chunk, and of any
+CELLS = 1 << 20  # scores that a task holds at a time
 SLACK = 1e-9  # of a bound, for rounding
 _STATE = "user_id long, u array<double>, item_ids array<bigint>, scores array<double>, open boolean"
 
@@ -60,47 +61,46 @@ def _ranked(items: DataFrame, root: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(f"{root}/items"), sum(counts.values())
 
 
-def _better(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of each row: higher score first, of equal ones the smaller id."""
-    if scores.shape[1] > 4 * k:
-        kth = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-        wide = int((scores >= kth[:, None]).sum(axis=1).max())  # ties of the k-th score stay in
-        near = np.argpartition(-scores, min(wide, scores.shape[1] - 1), axis=1)[:, :wide]
-        scores, ids = np.take_along_axis(scores, near, 1), np.take_along_axis(ids, near, 1)
-    order = np.lexsort((ids, -scores), axis=1)[:, :k]
-    return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
+def _best(scores: np.ndarray, ids: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, score, id) of every score that may be among the k best of its row: none below ``least`` or below the row's k-th."""
+    if scores.shape[1] > k and np.isneginf(least).any():
+        least = np.maximum(least, np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k])  # its ties stay in
+    at, item = np.nonzero(scores >= least[:, None])
+    return at, scores[at, item], ids[item]
 
 
-def _meeting(chunk, k: int, rest: float):
-    """Score open users against a chunk; ``rest`` is the length of the longest item after it."""
+def _meeting(chunk, k: int, rest: float, cells: int = CELLS):
+    """Score open users against a chunk; ``rest`` is the length of the longest item after it.
+
+    So many users at a time that no more than ``cells`` scores are held, however long the chunk is.
+    """
+
+    def meet(part: pd.DataFrame, ids: np.ndarray, v: np.ndarray) -> pd.DataFrame:
+        u = np.stack(part["u"].to_numpy())
+        sizes = np.array([len(s) for s in part["scores"]])
+        least = np.array([s[-1] if len(s) == k else -np.inf for s in part["scores"]])
+        found = _best(u @ v.T, ids, least, k)
+        held = (np.repeat(np.arange(len(u)), sizes), np.concatenate([*part["scores"]]), np.concatenate([*part["item_ids"]]).astype(np.int64))
+        at, scores, names = (np.concatenate(pair) for pair in zip(held, found, strict=True))
+        order = np.lexsort((names, -scores, at))  # higher score first, of equal ones the smaller id
+        at, scores, names = at[order], scores[order], names[order]
+        begins = np.searchsorted(at, np.arange(len(u)))
+        best = np.arange(len(at)) - begins[at] < k
+        at, scores, names = at[best], scores[best], names[best]
+        ends = np.searchsorted(at, np.arange(1, len(u)))
+        scores, names = np.split(scores, ends), np.split(names, ends)
+        kth = np.array([s[-1] if len(s) == k else -np.inf for s in scores])
+        bound = np.linalg.norm(u, axis=1) * rest * (1 + SLACK) + SLACK * 1e-3
+        return pd.DataFrame(
+            {"user_id": part["user_id"].to_numpy(), "u": list(u), "item_ids": names, "scores": scores, "open": (bound >= kth) & (rest >= 0)}
+        )
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, v = chunk.value
+        width = max(1, cells // max(1, len(ids)))
         for part in parts:
-            if part.empty:
-                continue
-            u = np.stack(part["u"].to_numpy())
-            before = [len(s) for s in part["scores"]]
-            held = max(before)
-            scores = np.full((len(u), held + len(ids)), -np.inf)
-            names = np.full(scores.shape, np.iinfo(np.int64).max)
-            scores[:, held:], names[:, held:] = u @ v.T, ids
-            for i, (s, n) in enumerate(zip(part["scores"], part["item_ids"], strict=True)):
-                scores[i, : len(s)], names[i, : len(n)] = s, n
-            scores, names = _better(scores, names, k)
-            full = scores.shape[1] == k
-            bound = np.linalg.norm(u, axis=1) * rest * (1 + SLACK) + SLACK * 1e-3
-            still = (bound >= scores[:, -1]) if full else np.ones(len(u), bool)
-            keep = np.isfinite(scores)
-            yield pd.DataFrame(
-                {
-                    "user_id": part["user_id"],
-                    "u": part["u"],
-                    "item_ids": [n[m] for n, m in zip(names, keep, strict=True)],
-                    "scores": [s[m] for s, m in zip(scores, keep, strict=True)],
-                    "open": still & (rest >= 0),
-                }
-            )
+            for begin in range(0, len(part), width):
+                yield meet(part.iloc[begin : begin + width], ids, v)
 
     return run
 

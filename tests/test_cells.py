@@ -68,3 +68,35 @@ def test_recall_at_the_default_and_the_empty_corpus(spark, folder):
     cells.build(df.limit(0), f"{folder}/none")
     nothing, met = cells.search(cells.Cells(spark, f"{folder}/none"), asked, k=10, exact=True)
     assert nothing.columns == ["query_id", "vec_id", "distance"] and nothing.count() == met.count() == 0
+
+
+def test_shuffled_queries_grow_with_groups_and_not_with_cells(spark, folder):
+    rng = np.random.default_rng(2)
+    data = [(i, rng.normal(size=6).tolist()) for i in range(900)]
+    df = spark.createDataFrame(data, ROW)
+    cells.build(df, f"{folder}/index", cell_rows=10)
+    index = cells.Cells(spark, f"{folder}/index")
+    asked = as_queries(df.where("vec_id % 3 = 0"))
+    want = found(vectors.similar(asked, df, k=4))
+    sent = []
+
+    def counted(k, *rest, real=cells._meeting):
+        run, seen = real(k, *rest), spark.sparkContext.accumulator(0)
+        sent.append(seen)
+
+        def noted(left, right):
+            seen.add(len(left))
+            return run(left, right)
+
+        noted.__annotations__ = {}
+        return noted
+
+    plain, cells._meeting = cells._meeting, counted
+    try:
+        got, met = cells.search(index, asked, k=4, probe_groups=99, probes=999)
+        assert found(got) == want and found(cells.search(index, asked, k=4, exact=True, probe_groups=1, probes=2)[0]) == want
+    finally:
+        cells._meeting = plain
+    groups = len(index.groups)
+    assert met.count() == 300 * index.cells.count() >= 300 * 6 * groups
+    assert 0 < sent[0].value <= 300 * groups

@@ -7,7 +7,8 @@ nearest cell of their nearest group. A group and a cell know the largest angle b
 An approximate search meets the vectors of each query's nearest cells. An exact one goes on from there: by the triangle inequality
 of angles a cell holds nothing nearer than its centre's angle less its radius, so only cells, and before them only groups, whose
 bound does not exceed the angle of the k-th neighbour so far are met. Where vectors form clusters that is few of them; where they do
-not it is all, and the result is still exact. Met vectors are compared themselves, in blocks (see ``similarity``).
+not it is all, and the result is still exact. Met vectors are compared themselves: a query goes to each of its groups once, with a list of
+its cells there, so what is shuffled grows with queries times groups and not with queries times cells.
 
 Only the groups' centres are broadcast, about the square root of the number of cells; cells are joined by their group.
 """
@@ -21,12 +22,12 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill import fixed
 from tidemill.operators.dedup import top_per_key
-from tidemill.operators.similarity import CORPUS_BLOCK, DISTANCE, QUERY, QUERY_BLOCK, _deal, _ranked, _result_schema
+from tidemill.operators.similarity import CORPUS_BLOCK, DISTANCE, QUERY, _kernel, _ranked, _result_schema
 from tidemill.session import run_dir
 
 CELL_ROWS = 200
@@ -34,6 +35,9 @@ SAMPLE = 64  # vectors for each centre that centres are learned from
 PROBE_GROUPS, PROBES = 12, 24
 ITERATIONS = 8
 SLACK = 1e-6  # of angles, for rounding
+MEET_QUERIES = 20_000  # queries of a group that meet its vectors in one task
+PAIR_BLOCKS = 16  # blocks that queries are dealt to for choosing cells, at least
+SCORES = 1 << 20  # angles or distances that a task holds at a time
 _GROUP_BITS = 24
 
 
@@ -167,19 +171,109 @@ def _to_groups(index: Cells, probes: int | None):
     return run
 
 
-def _angle(a: str, b: str) -> Column:
-    """The angle between two directions."""
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
-    return F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))
+def _cells_of(probes: int | None):
+    """The cells of a group that a block of queries has to look into: the ``probes`` nearest, or all that may hold something within reach."""
+
+    def run(asked: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
+        if asked.empty or cells.empty:
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in (QUERY, "grp", "owns", "angles")})
+        cells = cells.sort_values("own")
+        own, radius, centres = cells["own"].to_numpy(np.int32), cells["radius"].to_numpy(), np.stack(cells["centre"])
+        width, owns, far = max(1, SCORES // len(own)), [], []
+        for begin in range(0, len(asked), width):
+            part = asked.iloc[begin : begin + width]
+            angles = _angles(np.stack(part["u"]), centres)
+            if probes is None:
+                keep = angles - radius <= part["reach"].to_numpy()[:, None] + SLACK
+                owns += [own[row] for row in keep]
+                far += [angles[0, :0]] * len(part)  # nothing is ranked by them
+            else:
+                order = np.argsort(angles, axis=1, kind="stable")[:, :probes]
+                owns += list(own[order])
+                far += list(np.take_along_axis(angles, order, 1))
+        return pd.DataFrame({QUERY: asked[QUERY].to_numpy(), "grp": asked["grp"].to_numpy(), "owns": owns, "angles": far})
+
+    return run
+
+
+def _meeting(key: str, k: int):
+    """Compare a block of queries with a block of a group's vectors: each with those of its own cells that lie within its ``far``."""
+    unit, _ = _kernel(k)
+
+    def nearest(queries, far, vectors, ids, met=None):
+        """(row, id, distance) of what may be among the k nearest; ``met`` says which pairs count."""
+        rows, names, found = [], [], []
+        width, few = max(1, SCORES // max(1, len(ids))), min(k, len(ids))
+        for begin in range(0, len(queries) if few else 0, width):
+            distances = np.round(1.0 - queries[begin : begin + width] @ vectors.T, 12)
+            if met is not None:
+                distances[~met(slice(begin, begin + width))] = np.inf
+            limit = np.minimum(np.partition(distances, few - 1, axis=1)[:, few - 1], far[begin : begin + width])
+            at, item = np.nonzero(distances <= limit[:, None])
+            d = distances[at, item]
+            real = np.isfinite(d)
+            rows.append(at[real] + begin)
+            names.append(ids[item[real]])
+            found.append(d[real])
+        return rows, names, found
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        nothing = pd.DataFrame({QUERY: [], key: [], DISTANCE: []})
+        # Rows are known by their number, queries as well as vectors.
+        (numbers, queries), (at, vectors) = (unit(range(len(side)), side["v"]) for side in (left, right))
+        if not len(numbers) or not len(at):
+            return nothing
+        own = right["own"].to_numpy(np.int64)[at]
+        order = np.argsort(own, kind="stable")
+        own, names, vectors = own[order], np.asarray(right["key"].tolist())[at[order]], vectors[order]
+        far, lists = left["far"].to_numpy(np.float64)[numbers], left["owns"].to_numpy()[numbers]
+        here, begins = np.unique(own, return_index=True)
+        ends = np.append(begins[1:], len(own))
+        rows, cells = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(list(lists)).astype(np.int64)
+        mask = np.zeros((len(lists), max(here.max(), cells.max(initial=0)) + 1), bool)
+        mask[rows, cells] = True
+        found = ([], [], [])
+        if mask[:, here].mean() > 0.5:
+            parts = nearest(queries, far, vectors, names, None if mask[:, here].all() else lambda rows: mask[rows][:, own])
+            for into, part in zip(found, parts, strict=True):
+                into += part
+        else:
+            for cell, begin, end in zip(here, begins, ends, strict=True):
+                asking = np.flatnonzero(mask[:, cell])
+                rows, *rest = nearest(queries[asking], far[asking], vectors[begin:end], names[begin:end])
+                for into, part in zip(found, ([asking[r] for r in rows], *rest), strict=True):
+                    into += part
+        if not found[0]:
+            return nothing
+        at, item, d = (np.concatenate(x) for x in found)
+        order = np.lexsort((item, d, at))
+        at, item, d = at[order], item[order], d[order]
+        best = np.arange(len(at)) - np.searchsorted(at, at) < k
+        return pd.DataFrame({QUERY: left[QUERY].to_numpy()[numbers[at[best]]], key: item[best], DISTANCE: d[best]})
+
+    return run
 
 
 def _met(asked: DataFrame, pairs: DataFrame, index: Cells, k: int, schema: str) -> DataFrame:
-    """Compare queries with the vectors of the cells they are paired with."""
-    counts = pairs.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("q_blocks"))
-    sizes = counts.join(index.cells.select("cell", F.ceil(F.col("n") / CORPUS_BLOCK).cast("int").alias("c_blocks")), "cell")
-    left = pairs.select(QUERY, "cell").join(asked.select(QUERY, "v"), QUERY).select(QUERY, "v", "cell").join(sizes, "cell")
-    right = index.vectors.select("key", "v", "cell").join(sizes, "cell")
-    return _deal(left, right, k, "key", "v", schema)
+    """Compare queries with the vectors of the cells they are paired with: (query_id, grp, owns).
+
+    A query goes to a group once, with the list of its cells there, and a group's vectors once for each block of its queries; a block
+    gives out k rows for each query, however many cells were met.
+    """
+    counts = pairs.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / MEET_QUERIES).cast("int").alias("q_blocks"))
+    full = index.cells.groupBy("grp").agg(F.ceil(F.sum("n") / CORPUS_BLOCK).cast("int").alias("c_blocks"))
+    sizes = counts.join(full, "grp")
+
+    def dealt(rows: DataFrame, by: str, mine: str, own: str, theirs: str, other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64(by), F.col(own)).cast("int").alias(mine)
+        return rows.join(sizes, "grp").select(*rows.columns, block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(theirs))
+
+    left = asked.select(QUERY, "v", "far").join(pairs.select(QUERY, "grp", "owns"), QUERY)
+    left = dealt(left, QUERY, "qb", "q_blocks", "cb", "c_blocks")
+    right = index.vectors.select("key", "v", "grp", "own")
+    right = dealt(right, "key", "cb", "c_blocks", "qb", "q_blocks")
+    where = ["grp", "qb", "cb"]
+    return left.groupBy(*where).cogroup(right.groupBy(*where)).applyInPandas(_meeting("key", k), schema)
 
 
 def search(
@@ -201,29 +295,51 @@ def search(
         raise ValueError("k and the probes must be at least 1")
     spark, scratch = queries.sparkSession, run_dir(queries.sparkSession, "probe")
     schema = _result_schema(queries, index.vectors, "key")
+    query_type = schema.split(",")[0]
     asked = _with_direction(queries.where(F.col(QUERY).isNotNull()).select(QUERY, F.col(vector).alias("v")), "v")
     asked = _stored(asked, f"{scratch}/asked")
-
-    def paired(rows: DataFrame, groups) -> DataFrame:
-        each = rows.withColumn("grp", F.explode(groups))
-        near = each.join(index.cells.select("grp", "cell", "centre", "radius", "n"), "grp").withColumn("angle", _angle("u", "centre"))
-        return near
-
     if not len(index.groups):
         empty = spark.createDataFrame([], schema).withColumnRenamed("key", key)
-        return empty, spark.createDataFrame([], schema.split(",")[0] + ", cell long, n long")
-    first = paired(asked, _to_groups(index, probe_groups)(F.col("u"), F.lit(0.0)))
-    first = top_per_key(first.select(QUERY, "cell", "angle", "n"), [QUERY], [F.col("angle"), F.col("cell")], probes)
-    first = _stored(first.select(QUERY, "cell", "n"), f"{scratch}/first")
-    found = _stored(_ranked(_met(asked, first, index, k, schema), "key", k), f"{scratch}/found")
+        return empty, spark.createDataFrame([], f"{query_type}, cell long, n long")
+
+    blocks = max(PAIR_BLOCKS, math.ceil(asked.count() / MEET_QUERIES))
+
+    def paired(rows: DataFrame, groups, most: int | None) -> DataFrame:
+        """(query_id, grp, owns, angles) of the cells in each query's groups."""
+        each = rows.withColumn("grp", F.explode(groups))
+        each = each.withColumn("block", F.pmod(F.xxhash64(QUERY), F.lit(blocks)).cast("int"))
+        cells = index.cells.select("grp", "own", "centre", "radius", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+        sides = each.groupBy("grp", "block").cogroup(cells.groupBy("grp", "block"))
+        return sides.applyInPandas(_cells_of(most), f"{query_type}, grp int, owns array<int>, angles array<double>")
+
+    nearest_groups = _to_groups(index, probe_groups)(F.col("u"), F.lit(0.0))
+    if probe_groups >= len(index.groups) and probes >= index.cells.count():
+        everything = index.cells.groupBy("grp").agg(F.sort_array(F.collect_list("own")).alias("owns"))
+        first = asked.select(QUERY, F.explode(nearest_groups).alias("grp")).join(everything, "grp")
+    else:
+        cells = paired(asked.select(QUERY, "u"), nearest_groups, probes)
+        cells = cells.select(QUERY, "grp", F.explode(F.arrays_zip(F.col("owns").alias("own"), F.col("angles").alias("angle"))).alias("c"))
+        cells = top_per_key(cells.select(QUERY, "grp", "c.own", "c.angle"), [QUERY], [F.col("angle"), F.col("grp"), F.col("own")], probes)
+        first = cells.groupBy(QUERY, "grp").agg(F.sort_array(F.collect_list("own")).alias("owns"))
+    first = _stored(first.select(QUERY, "grp", "owns"), f"{scratch}/first")
+
+    def cells_met(pairs: DataFrame) -> DataFrame:
+        each = pairs.select(QUERY, "grp", F.explode("owns").alias("own"))
+        return each.join(index.cells.select("grp", "own", "cell", "n"), ["grp", "own"]).select(QUERY, "cell", "n")
+
+    near = asked.select(QUERY, "v", F.lit(math.inf).alias("far"))
+    found = _stored(_ranked(_met(near, first, index, k, schema), "key", k), f"{scratch}/found")
     if not exact:
-        return found.withColumnRenamed("key", key), first
+        return found.withColumnRenamed("key", key), cells_met(first)
     # The angle of the k-th neighbour so far; without k neighbours everything is within reach.
     kth = found.groupBy(QUERY).agg(F.count(F.lit(1)).alias("found"), F.max(DISTANCE).alias("far"))
-    reach = F.when(F.col("found") >= k, F.acos(F.greatest(F.lit(-1.0), F.lit(1.0) - F.col("far")))).otherwise(F.lit(4.0))
-    open_ = asked.join(kth.select(QUERY, reach.alias("reach")), QUERY, "left").withColumn("reach", F.coalesce("reach", F.lit(4.0)))
-    more = paired(open_, _to_groups(index, None)(F.col("u"), F.col("reach")))
-    more = more.where(F.col("angle") - F.col("radius") <= F.col("reach") + SLACK).select(QUERY, "cell", "n")
-    more = _stored(more.join(first.select(QUERY, "cell"), [QUERY, "cell"], "left_anti"), f"{scratch}/more")
-    both = _met(asked, more, index, k, schema).unionByName(found)
-    return _ranked(both, "key", k).withColumnRenamed("key", key), first.unionByName(more)
+    kth = kth.select(QUERY, F.when(F.col("found") >= k, F.col("far")).otherwise(F.lit(math.inf)).alias("far"))
+    open_ = asked.join(kth, QUERY, "left").withColumn("far", F.coalesce("far", F.lit(math.inf)))
+    reach = F.when(F.col("far") < math.inf, F.acos(F.greatest(F.lit(-1.0), F.lit(1.0) - F.col("far")))).otherwise(F.lit(4.0))
+    open_ = _stored(open_.withColumn("reach", reach), f"{scratch}/open")
+    more = paired(open_.select(QUERY, "u", "reach"), _to_groups(index, None)(F.col("u"), F.col("reach")), None)
+    more = more.join(first.select(QUERY, "grp", F.col("owns").alias("before")), [QUERY, "grp"], "left")
+    more = more.select(QUERY, "grp", F.array_except("owns", F.coalesce("before", F.array().cast("array<int>"))).alias("owns"))
+    more = _stored(more.where(F.size("owns") > 0), f"{scratch}/more")
+    both = _met(open_, more, index, k, schema).unionByName(found)
+    return _ranked(both, "key", k).withColumnRenamed("key", key), cells_met(first).unionByName(cells_met(more))

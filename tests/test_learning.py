@@ -11,6 +11,7 @@ from helpers import plan, rows, ts
 from tidemill.functions import normalised
 from tidemill.operators import recommend, search
 from tidemill.operators import similarity as vectors
+from tidemill.session import BATCH_SETTINGS
 
 
 @pytest.fixture(scope="module")
@@ -186,3 +187,19 @@ def test_ranking_metrics(spark):
     held = spark.createDataFrame([(1, 2), (1, 9), (2, 5), (3, 1)], "user_id int, item_id int")
     row = recommend.ranking_metrics(recs, held, k=2).first()
     assert (row.precision_at_k, row.recall_at_k, row.users) == (pytest.approx(0.5 / 3), pytest.approx(0.5 / 3), 3)
+
+
+def test_embedding_sees_few_texts_at_a_time(spark):
+    def make():
+        return lambda texts: np.array([[len(texts), 1.0]] * len(texts), dtype=np.float32)
+
+    docs = spark.range(5000).select("id", F.lit("red cup").alias("t")).coalesce(1)
+    before = {k: spark.conf.get(k) for k in BATCH_SETTINGS}
+    try:
+        for k in BATCH_SETTINGS:
+            spark.conf.unset(k)
+        made = vectors.embed(docs, "id", "t", make).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(made) == 5000 and max(r.embedding[0] for r in made) <= 1000

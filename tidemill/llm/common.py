@@ -6,24 +6,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.session import run_dir, tune
+from tidemill.session import run_dir, small_batches, tune
 from tidemill.sources.files import delete
 
-# Texts go to Python in batches of few rows and few bytes, so that very long texts do not fill a worker's memory.
-BATCH_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
-}
 FOLDS = 5
 BUCKETS = 256
 
 
 def settle(spark: SparkSession) -> SparkSession:
     """Set what these operators count on in a session that was made elsewhere."""
-    tune(spark)
-    for key, value in BATCH_SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+    return small_batches(tune(spark))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

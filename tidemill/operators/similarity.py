@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemill import fixed
 from tidemill.functions import tokens
 from tidemill.operators.dedup import top_per_key
+from tidemill.session import small_batches
 
 QUERY, DISTANCE, RANK = "query_id", "distance", "rank"
 BROADCAST_QUERIES = 512
@@ -33,7 +34,8 @@ Encoder = Callable[[list[str]], np.ndarray]
 
 
 def embed(df: DataFrame, key: str, text: str, make_encoder: Callable[[], Encoder]) -> DataFrame:
-    """(key, embedding) by any encoder; it is made once per task and then sees the texts batch by batch."""
+    """(key, embedding) by any encoder; it is made once per task and then sees the texts in small batches."""
+    small_batches(df.sparkSession)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = make_encoder()

@@ -20,6 +20,18 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Texts go to Python in batches of few rows and few bytes, so that very long texts do not fill a worker's memory.
+BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+}
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    for key, value in BATCH_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Set what the operators count on in a session that was made elsewhere."""

@@ -203,3 +203,13 @@ def test_embedding_sees_few_texts_at_a_time(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert len(made) == 5000 and max(r.embedding[0] for r in made) <= 1000
+
+
+def test_words_of_unique_documents_are_counted_without_a_shuffle(spark):
+    texts = [*TEXTS, (901, None), (902, " ! "), (903, "z a z A, z b"), (904, "one")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert docs.select("doc_id").distinct().count() == len(texts)
+    local, grouped = search.index_terms(docs, unique=True), search.index_terms(docs)
+    assert sorted(rows(local)) == sorted(rows(grouped)) and local.columns == grouped.columns
+    assert "Exchange" not in plan(local) and "Exchange" in plan(grouped)
+    assert local.schema["tf"].dataType == grouped.schema["tf"].dataType

@@ -70,14 +70,22 @@ def keyword_search(
     return hits.select(key, score.alias("score")).orderBy(F.col("score").desc(), key).limit(k)
 
 
-def index_terms(docs: DataFrame, key: str = "doc_id", text: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
+def index_terms(docs: DataFrame, key: str = "doc_id", text: str = "text", also: tuple[str, ...] = (), unique: bool = False) -> DataFrame:
     """One row per document and distinct word: (term, key, length, tf), and the columns ``also`` of the document.
 
-    Repeated words collapse in the map tasks, so a word found in every document costs one row per document.
+    A word found in every document costs one row per document. Of ``unique`` keys a document's words are counted where it lies, as runs
+    of its sorted words, and nothing is shuffled; else rows of one key and length are counted as one.
     """
-    words = docs.select(key, *also, tokens(F.col(text)).alias("w")).select(key, *also, F.size("w").alias("length"), "w")
-    each = words.select(key, *also, "length", F.explode("w").alias("term"))
-    return each.groupBy("term", key, *also, "length").agg(F.count(F.lit(1)).alias("tf"))
+    words = docs.select(key, *also, tokens(F.col(text)).alias("w")).select(key, *also, F.size("w").alias("length"), (F.sort_array("w") if unique else F.col("w")).alias("w"))
+    if not unique:
+        each = words.select(key, *also, "length", F.explode("w").alias("term"))
+        return each.groupBy("term", key, *also, "length").agg(F.count(F.lit(1)).alias("tf"))
+    ends = F.filter(F.sequence(F.lit(1), F.col("length")), lambda i: (i == F.col("length")) | (F.get("w", i) != F.get("w", i - 1)))
+    runs = words.where("length > 0").select(key, *also, "length", "w", ends.alias("ends"))
+    begins = F.concat(F.array(F.lit(0)), F.slice("ends", 1, F.size("ends") - 1))
+    counted = F.zip_with(begins, "ends", lambda at, end: F.struct(F.get("w", at).alias("term"), (end - at).cast("long").alias("tf")))
+    each = runs.select(key, *also, "length", F.explode(counted).alias("run"))
+    return each.select("run.term", key, *also, "length", "run.tf")
 
 
 def store_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> None:
@@ -85,7 +93,8 @@ def store_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
 
     The rebalance hint splits the rows of a very common word over several files.
     """
-    index = index_terms(docs, key, text).hint("rebalance", "term").sortWithinPartitions("term", key)
+    unique = docs.groupBy(key).count().where("count > 1").isEmpty()
+    index = index_terms(docs, key, text, unique=unique).hint("rebalance", "term").sortWithinPartitions("term", key)
     index.write.mode("overwrite").parquet(f"{path}/terms")
     corpus_size(docs, text).write.mode("overwrite").parquet(f"{path}/corpus")
 

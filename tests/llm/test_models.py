@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import html
 import math
 import random
@@ -12,7 +13,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemill.llm import html_extract, language, quality, queries, toxicity
+from tidemill.llm import html_extract, language, packing, quality, queries, toxicity
 from tidemill.llm.common import held_out, labelled_sample
 
 SF = "/root/testdata/sf0.01"
@@ -94,6 +95,19 @@ def test_language(spark):
     assert {(r.lang_pred, r.score) for r in language.identify(docs.limit(3), one).collect()} == {("fr", 1.0)}
 
 
+def test_models_leave_the_workers_with_their_stage(spark):
+    texts = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("many words of one tongue").alias("text")).repartition(4)
+    assert language.identify(texts, {"en": "many words of one tongue", "de": "viele worte einer sprache"}).where("lang_pred = 'en'").count() == 400
+    assert packing.pack(texts).agg(F.sum("length")).first()[0] > 400
+
+    def left(parts):
+        for part in parts:
+            held = [type(x).__name__ for x in gc.get_objects()]
+            yield part.assign(id=held.count("Automata") + held.count("WordTokenizer"))
+
+    assert spark.range(0, 400, 1, 8).mapInPandas(left, "id long").agg(F.max("id")).first()[0] == 0
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)

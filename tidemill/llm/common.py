@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -60,6 +62,24 @@ class Scratch:
             delete(self.spark, path)
 
 
+class Once:
+    """``make(*args)`` for tasks, to be broadcast: made at its first call in each Python worker and dropped there with the broadcast.
+
+    Spark drops a broadcast from a worker as soon as a task comes that does not use it, so later stages have the memory.
+    """
+
+    def __init__(self, make: Callable, *args) -> None:
+        self.make, self.args = make, args
+
+    def __getstate__(self) -> dict:
+        return {"make": self.make, "args": self.args}
+
+    def __call__(self):
+        if not hasattr(self, "made"):
+            self.made = self.make(*self.args)
+        return self.made
+
+
 def learnable(labels: DataFrame, label: str) -> DataFrame:
     """(doc_id, label) of the ids that may be learned from: neither held out nor without a label.
 

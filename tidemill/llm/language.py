@@ -22,11 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import held_out
+from tidemill.llm.common import Once, held_out
 
 UNKNOWN = "und"
 SAMPLE_CHARS = 120_000  # shared by the languages
@@ -177,25 +176,13 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     return {lang: "\n".join(texts)[:share] for lang, texts in by_lang.items()}
 
 
-_built: dict[int, Automata] = {}
-
-
-def _automata(of: Broadcast) -> Automata:
-    """Built once in each Python worker from the broadcast samples."""
-    key = hash(tuple(sorted(of.value.items())))
-    if key not in _built:
-        _built.clear()
-        _built[key] = Automata(of.value)
-    return _built[key]
-
-
 def identify(docs: DataFrame, samples: dict[str, str], text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score. Nothing is shuffled; columns of these names are replaced."""
-    sent = docs.sparkSession.sparkContext.broadcast(samples)
+    sent = docs.sparkSession.sparkContext.broadcast(Once(Automata, samples))
 
     @F.pandas_udf("lang_pred string, score double")
     def parse(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        automata = _automata(sent)
+        automata = sent.value()
         for texts in parts:
             names, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
             able = [i for i, t in enumerate(texts) if t and _LETTER(t)] if automata.names else []

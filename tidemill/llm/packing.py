@@ -128,11 +128,11 @@ def pack(
 ) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = settle(docs.sparkSession)
-    path = path or default_path()
+    shared = tokenizer(spark, path or default_path())
     end = int(end_id).to_bytes(4, "little")
 
     def by_worker(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, worker = tokenizer(path).encode, TaskContext.get().partitionId()
+        encode, worker = shared.value().encode, TaskContext.get().partitionId()
         bins = _Bins(worker << 32)
         for part in parts:
             rows: list[tuple] = []

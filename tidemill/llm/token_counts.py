@@ -39,11 +39,11 @@ def flatten(
 
     Blocks have ``block_ids`` ids, whatever documents they cut; the last one of a file is shorter.
     """
-    path = path or default_path()
+    shared = tokenizer(docs.sparkSession, path or default_path())
     end = np.array([separator], "<u2").tobytes()
 
     def lay(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, file, size = tokenizer(path).encode, f"part-{TaskContext.get().partitionId():06d}", 2 * block_ids
+        encode, file, size = shared.value().encode, f"part-{TaskContext.get().partitionId():06d}", 2 * block_ids
         held, ends, block, laid = bytearray(), [], 0, 0  # laid: bytes of the blocks already given out
 
         def give(whole: bool) -> pd.DataFrame:

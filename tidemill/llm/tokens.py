@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 
 import numpy as np
+from pyspark.broadcast import Broadcast
+from pyspark.sql import SparkSession
+
+from tidemill.llm.common import Once
 
 WORD_BPE = "word_bpe_49k.json"
 END_OF_TEXT = 49407
@@ -122,7 +125,6 @@ class WordTokenizer:
             return b"".join(map(known.__getitem__, chunks))
 
 
-@functools.lru_cache(maxsize=2)
-def tokenizer(path: str) -> WordTokenizer:
-    """One for each Python worker and file."""
-    return WordTokenizer(path)
+def tokenizer(spark: SparkSession, path: str) -> Broadcast:
+    """A call of its value inside a task gives the file's tokenizer: one for each Python worker, as long as its tasks use it."""
+    return spark.sparkContext.broadcast(Once(WordTokenizer, path))

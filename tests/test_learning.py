@@ -171,6 +171,21 @@ def test_als(rated):
     assert 0 <= metrics.precision_at_k <= 1 and metrics.users == test.select("user_id").distinct().count()
 
 
+def test_als_blocks_go_by_ratings_and_cores(rated, monkeypatch):
+    seen = []
+    monkeypatch.setattr(recommend.ALS, "fit", lambda self, df: seen.append((self.getNumUserBlocks(), self.getNumItemBlocks())))
+    spark, cores = rated.sparkSession, rated.sparkSession.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(20 * cores))
+    try:
+        recommend.fit_als(rated)
+        monkeypatch.setattr(recommend, "BLOCK_RATINGS", 1)
+        recommend.fit_als(rated)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen == [(cores, cores), (max(cores, rated.count()),) * 2]
+
+
 def test_serving(spark):
     recs = spark.createDataFrame(
         [(1, 5, 0.5), (1, 4, 0.9), (1, 3, 0.5), (2, 9, 0.1), (999999, 123, 0.99)], "user_id int, item_id int, score float"

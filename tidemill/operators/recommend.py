@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -14,6 +15,8 @@ from tidemill.operators.dedup import top_per_key
 from tidemill.operators.factors import top_items
 from tidemill.session import ensure_checkpoint_dir
 
+BLOCK_RATINGS = 16_000_000  # rows of a block of users or items, about
+
 
 def ratings(features: DataFrame) -> DataFrame:
     """(user_id int, item_id int, rating float): how often a user bought an item."""
@@ -48,10 +51,11 @@ def fit_als(
 ) -> ALSModel:
     """Train on (user_id, item_id, rating). Lineage is cut in the shared checkpoint folder every five iterations.
 
-    Users and items are cut into as many blocks as the session shuffles into, so blocks do not grow with the data.
+    Each iteration sends a user's factors to every block of items that holds one of theirs, and back. So users and items are cut
+    into few blocks: one for each core, or more where a block would have over ``BLOCK_RATINGS`` rows. ``train`` is read twice.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    blocks = blocks or int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks or max(train.sparkSession.sparkContext.defaultParallelism, math.ceil(train.count() / BLOCK_RATINGS))
     als = ALS(
         rank=rank,
         maxIter=iterations,

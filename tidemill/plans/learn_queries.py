@@ -35,7 +35,10 @@ def als_ratings_split(shop: Shop) -> DataFrame:
 
 
 def _model(shop: Shop):
-    train, test = recommend.train_test(recommend.ratings(_features(shop)))
+    # Written, as training and testing read it several times.
+    rated, path = recommend.ratings(_features(shop)), run_dir(shop.spark, "ratings")
+    rated.write.parquet(path)
+    train, test = recommend.train_test(shop.spark.read.schema(rated.schema).parquet(path))
     return recommend.fit_als(train), test
 
 

@@ -73,3 +73,20 @@ def test_top_k_sql(spark):
     got = {tuple(r) for r in queries.op1_topk(spark, SF).select("query_id", "rank", "vec_id", "score").collect()}
     assert got == set(db.execute(queries.CHECKS["op1_topk"]).fetchall())
     assert language.UNKNOWN == "und"
+
+
+def test_workers_give_memory_back_after_each_frame(monkeypatch):
+    """Near copies and packing ran at 3000 MB of an executor, of which idle workers held what earlier frames had freed."""
+    import pandas as pd
+
+    from tidemill.llm import common, jaccard
+
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    frames = [pd.DataFrame({"doc_id": ["1", None], "text": ["a b c d e f", None]})] * 3
+    plain, lean = (list(f(iter(frames))) for f in (jaccard._signatures(5), common.lean(jaccard._signatures(5))))
+    assert len(given) == len(plain) + 1
+    plain, lean = ([f[["doc_id", "n", "key"]].astype(object).values.tolist() for f in frames] for frames in (plain, lean))
+    assert str(plain) == str(lean)
+    monkeypatch.undo()
+    common.give_back()

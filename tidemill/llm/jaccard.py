@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import Scratch, columns, settle, written
+from tidemill.llm.common import Scratch, columns, give_back, lean, settle, written
 
 SIZE = 4
 SLOT_BITS = 20
@@ -46,7 +46,7 @@ WIDE_FROM = 1000
 MOST_LIGHT = 64  # far beyond any boundary that cost can choose: sets of 64 have over 10^10 subsets of the size asked for
 BEFORE = 8  # earlier listings that a listing carries
 FILTER_BITS = 24
-_CACHE = 250_000
+_CACHE = 50_000
 _KEPT = 50_000  # class keys that a task remembers, to give each out once
 
 _META = "doc_id long, n long, key long, parity array<bigint>, wide array<bigint>, chunk int, counts binary"
@@ -271,14 +271,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     rows.append((key, s.tobytes()))
             yield pd.DataFrame(rows, columns=["key", "shingles"])
 
-    made = docs.select(slot.cast("long").alias("slot"), "text").mapInPandas(run, "key long, shingles binary")
+    made = docs.select(slot.cast("long").alias("slot"), "text").mapInPandas(lean(run), "key long, shingles binary")
     return made.join(wanted.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles"))
 
 
 def _common(a: pd.Series, b: pd.Series) -> pd.Series:
     """How many shingles two sets share."""
     sets = [(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True)]
-    return pd.Series([len(np.intersect1d(x, y, assume_unique=True)) for x, y in sets], dtype="int64")
+    shared = pd.Series([len(np.intersect1d(x, y, assume_unique=True)) for x, y in sets], dtype="int64")
+    give_back()
+    return shared
 
 
 def roots(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
@@ -310,7 +312,7 @@ class _Join:
         self.size, self.at, self.scratch = size, at, scratch
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
         named = self.docs.select(F.col("doc_id").cast("string"), "text")  # pandas has no long column with nulls
-        meta = scratch.written(named.mapInPandas(_signatures(size), _META))
+        meta = scratch.written(named.mapInPandas(lean(_signatures(size)), _META))
         self.rows = meta.where(F.col("chunk").isNull()).select("doc_id", "n", "key", "parity", "wide")
         self.classes = scratch.written(
             self.rows.where(F.col("key").isNotNull())
@@ -322,7 +324,7 @@ class _Join:
         sizes = {r.n: r["count"] for r in self.classes.where(F.col("n") <= MOST_LIGHT).groupBy("n").count().collect()}
         list_cost = max(1.0, float((counts.astype(float) ** 2).sum() / max(1, counts.sum()) - counts.mean()))
         boundary = light_boundary(sizes, list_cost, at)
-        listed = self.docs.select("text").mapInPandas(_listing(size, levels, boundary, at), _INDEX)
+        listed = self.docs.select("text").mapInPandas(lean(_listing(size, levels, boundary, at)), _INDEX)
         once = listed.groupBy("key").agg(F.first(F.struct("n", "tokens", "places")).alias("s"))
         index = scratch.written(
             once.select("key", "s.n", F.posexplode("s.tokens").alias("i", "token"), "s.places").select("key", "n", "token", F.get("places", F.col("i")).alias("place"))

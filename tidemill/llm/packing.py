@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import columns, settle, written
+from tidemill.llm.common import columns, lean, settle, written
 from tidemill.llm.tokens import default_path, tokenizer
 
 CAPACITY = 2048
@@ -147,7 +147,7 @@ def pack(
 
     # As text, because pandas has no long column with nulls.
     source = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = written(source.mapInPandas(by_worker, _PIECE), "pack")
+    pieces = written(source.mapInPandas(lean(by_worker), _PIECE), "pack")
     done, level = [pieces.where(F.col("size_class").isNull())], 0
     waiting = pieces.where(F.col("size_class").isNotNull())
     groups = (waiting.agg(F.max("worker")).first()[0] or 0) + 1

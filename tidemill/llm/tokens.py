@@ -56,7 +56,7 @@ class WordTokenizer:
     tokenizer itself. Special tokens' strings in a text are ordinary text.
     """
 
-    def __init__(self, path: str, limit: int = 250_000) -> None:
+    def __init__(self, path: str, limit: int = 100_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

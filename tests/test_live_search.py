@@ -114,3 +114,14 @@ def test_rows_without_key_or_sequence(spark, folder):
     index.take([change(1, -5, "moon")])
     index.state = {1: (-5, "moon")}
     index.check()
+
+
+def test_a_segment_counts_words_where_the_texts_lie(spark, folder, monkeypatch):
+    """Words were shuffled once more to be counted, and texts cut into words a third time for the statistics."""
+    counted, told, terms, stats = [], [], live.index_terms, live._stats
+    monkeypatch.setattr(live, "index_terms", lambda *a, **b: counted.append(b.get("unique")) or terms(*a, **b))
+    monkeypatch.setattr(live, "_stats", lambda added, removed: told.append("split" in plan(added)) or stats(added, removed))
+    index = Index(spark, folder)
+    index.take([change(1, 1, "sun sun moon"), change(1, 2, "sea sun sea"), change(2, 1, "moon wind"), change(3, 1, None)])
+    assert counted == [True] and told == [False]
+    index.check("sun", "sea moon")

@@ -97,18 +97,23 @@ def _segment(batch: DataFrame, path: str, before: Segments, key: str, text: str,
     length = F.when(F.col("live"), F.size(tokens(F.coalesce("text", F.lit(""))))).otherwise(0)
     versions = fresh.select("key", "seq", length.alias("length"), "live")
     alive = fresh.where("live").select("key", "seq", F.coalesce("text", F.lit("")).alias("text"))
-    terms = index_terms(alive, "key", "text", ("seq",)).select("term", "key", "seq", "length", "tf")
-    _store(path, versions, terms, dead, _stats(versions, dead))
+    # A batch's newest changes are one for each key, so words are counted where the texts lie.
+    terms = index_terms(alive, "key", "text", ("seq",), unique=True).select("term", "key", "seq", "length", "tf")
+    _store(path, versions, terms, dead)
     for scratch in ("changes", "known"):
         before.log.drop(f"{path}/{scratch}")
     return told
 
 
-def _store(path: str, versions: DataFrame, terms: DataFrame, dead: DataFrame, stats: DataFrame) -> None:
+def _store(path: str, versions: DataFrame, terms: DataFrame, dead: DataFrame, stats: DataFrame | None = None) -> None:
+    """Write a segment; without ``stats`` they are counted from what was written, not from the texts again."""
     # Gathered and sorted, so that a search skips all but a few row groups and a batch finds its keys.
     terms.hint("rebalance", "term").sortWithinPartitions("term", "key").write.mode("overwrite").parquet(f"{path}/terms")
     versions.select(*_VERSION).sortWithinPartitions("key").write.mode("overwrite").parquet(f"{path}/versions")
     dead.select(*_VERSION).write.mode("overwrite").parquet(f"{path}/dead")
+    if stats is None:
+        read = versions.sparkSession.read
+        stats = _stats(*[read.schema(df.select(*_VERSION).schema).parquet(f"{path}/{t}") for t, df in (("versions", versions), ("dead", dead))])
     stats.write.mode("overwrite").parquet(f"{path}/stats")
 
 

@@ -100,3 +100,29 @@ def test_shuffled_queries_grow_with_groups_and_not_with_cells(spark, folder):
     groups = len(index.groups)
     assert met.count() == 300 * index.cells.count() >= 300 * 6 * groups
     assert 0 < sent[0].value <= 300 * groups
+
+
+def test_queries_choose_their_cells_of_all_groups_at_once(spark, folder, monkeypatch):
+    """A query's direction went to each of its groups, which was most of what an exact search shuffled."""
+    data, df = clusters(spark, groups=4, each=60)
+    cells.build(df, f"{folder}/index", cell_rows=15)
+    index = cells.Cells(spark, f"{folder}/index")
+    asked = as_queries(df.where("vec_id % 4 = 0"))
+    want, n, real = found(vectors.similar(asked, df, k=4)), asked.count(), cells._cells_of
+    for most, slices in ((20_000, 1), (index.cells.count() // 2, 3)):
+        monkeypatch.setattr(cells, "SLICE_CELLS", most)
+        seen = spark.sparkContext.accumulator(0)
+
+        def counted(probes, seen=seen):
+            run = real(probes)
+
+            def noted(left, right):
+                seen.add(len(left))
+                return run(left, right)
+
+            noted.__annotations__ = {}
+            return noted
+
+        monkeypatch.setattr(cells, "_cells_of", counted)
+        assert found(cells.search(index, asked, k=4, exact=True, probe_groups=3, probes=2)[0]) == want
+        assert 2 * n <= seen.value <= 2 * n * slices < 2 * n * len(index.groups) * slices

@@ -36,6 +36,7 @@ PROBE_GROUPS, PROBES = 12, 24
 ITERATIONS = 8
 SLACK = 1e-6  # of angles, for rounding
 MEET_QUERIES = 20_000  # queries of a group that meet its vectors in one task
+SLICE_CELLS = 20_000  # cells that a task choosing cells holds, about
 PAIR_BLOCKS = 16  # blocks that queries are dealt to for choosing cells, at least
 SCORES = 1 << 20  # angles or distances that a task holds at a time
 _GROUP_BITS = 24
@@ -172,26 +173,37 @@ def _to_groups(index: Cells, probes: int | None):
 
 
 def _cells_of(probes: int | None):
-    """The cells of a group that a block of queries has to look into: the ``probes`` nearest, or all that may hold something within reach."""
+    """The cells that a block of queries has to look into, for each query and group: the group's ``probes`` nearest, or all that may
+    hold something within reach.
+    """
 
     def run(asked: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
+        nothing = pd.DataFrame({c: pd.Series([], dtype=object) for c in (QUERY, "grp", "owns", "angles")})
         if asked.empty or cells.empty:
-            return pd.DataFrame({c: pd.Series([], dtype=object) for c in (QUERY, "grp", "owns", "angles")})
-        cells = cells.sort_values("own")
-        own, radius, centres = cells["own"].to_numpy(np.int32), cells["radius"].to_numpy(), np.stack(cells["centre"])
-        width, owns, far = max(1, SCORES // len(own)), [], []
-        for begin in range(0, len(asked), width):
-            part = asked.iloc[begin : begin + width]
-            angles = _angles(np.stack(part["u"]), centres)
-            if probes is None:
-                keep = angles - radius <= part["reach"].to_numpy()[:, None] + SLACK
-                owns += [own[row] for row in keep]
-                far += [angles[0, :0]] * len(part)  # nothing is ranked by them
-            else:
-                order = np.argsort(angles, axis=1, kind="stable")[:, :probes]
-                owns += list(own[order])
-                far += list(np.take_along_axis(angles, order, 1))
-        return pd.DataFrame({QUERY: asked[QUERY].to_numpy(), "grp": asked["grp"].to_numpy(), "owns": owns, "angles": far})
+            return nothing
+        queries, found = np.stack(asked["u"]), []
+        lists = asked["groups"].to_numpy()
+        rows, wanted = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(list(lists))
+        order = np.argsort(wanted, kind="stable")
+        rows, wanted = rows[order], wanted[order]
+        for grp, own_cells in cells.sort_values(["grp", "own"]).groupby("grp"):
+            own, radius, centres = own_cells["own"].to_numpy(np.int32), own_cells["radius"].to_numpy(), np.stack(own_cells["centre"])
+            asking = rows[np.searchsorted(wanted, grp, "left") : np.searchsorted(wanted, grp, "right")]
+            width, owns, far = max(1, SCORES // len(own)), [], []
+            for begin in range(0, len(asking), width):
+                part = asking[begin : begin + width]
+                angles = _angles(queries[part], centres)
+                if probes is None:
+                    keep = angles - radius <= asked["reach"].to_numpy()[part][:, None] + SLACK
+                    owns += [own[row] for row in keep]
+                    far += [angles[0, :0]] * len(part)  # nothing is ranked by them
+                else:
+                    nearest = np.argsort(angles, axis=1, kind="stable")[:, :probes]
+                    owns += list(own[nearest])
+                    far += list(np.take_along_axis(angles, nearest, 1))
+            if len(asking):
+                found.append(pd.DataFrame({QUERY: asked[QUERY].to_numpy()[asking], "grp": np.int32(grp), "owns": owns, "angles": far}))
+        return pd.concat(found, ignore_index=True) if found else nothing
 
     return run
 
@@ -304,16 +316,25 @@ def search(
 
     blocks = max(PAIR_BLOCKS, math.ceil(asked.count() / MEET_QUERIES))
 
+    every = index.cells.count()
+    slices = max(1, math.ceil(every / SLICE_CELLS))
+
     def paired(rows: DataFrame, groups, most: int | None) -> DataFrame:
-        """(query_id, grp, owns, angles) of the cells in each query's groups."""
-        each = rows.withColumn("grp", F.explode(groups))
-        each = each.withColumn("block", F.pmod(F.xxhash64(QUERY), F.lit(blocks)).cast("int"))
-        cells = index.cells.select("grp", "own", "centre", "radius", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-        sides = each.groupBy("grp", "block").cogroup(cells.groupBy("grp", "block"))
+        """(query_id, grp, owns, angles) of the cells in each query's groups.
+
+        A query goes once to each slice of the groups, of which there is one up to ``SLICE_CELLS`` cells, and not to each group.
+        """
+        slice_ = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice")
+        block = F.pmod(F.xxhash64(QUERY), F.lit(blocks)).cast("int").alias("block")
+        each = rows.select(*rows.columns, groups.alias("groups")).select(*rows.columns, "groups", block, slice_)
+        where = ["slice", "block"]
+        cells = index.cells.select("grp", "own", "centre", "radius", F.pmod(F.xxhash64("grp"), F.lit(slices)).cast("int").alias("slice"))
+        cells = cells.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        sides = each.groupBy(*where).cogroup(cells.groupBy(*where))
         return sides.applyInPandas(_cells_of(most), f"{query_type}, grp int, owns array<int>, angles array<double>")
 
     nearest_groups = _to_groups(index, probe_groups)(F.col("u"), F.lit(0.0))
-    if probe_groups >= len(index.groups) and probes >= index.cells.count():
+    if probe_groups >= len(index.groups) and probes >= every:
         everything = index.cells.groupBy("grp").agg(F.sort_array(F.collect_list("own")).alias("owns"))
         first = asked.select(QUERY, F.explode(nearest_groups).alias("grp")).join(everything, "grp")
     else:

@@ -9,6 +9,7 @@ import random
 import re
 import string
 import time
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -134,6 +135,20 @@ def test_ordinal_fit_grows_with_evidence():
     assert np.corrcoef(hits[y == 1], expected[y == 1])[0, 1] > 0.8
 
 
+def test_ordinal_fit_holds_its_sample_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    y = np.arange(400) % 2
+    texts = [np.concatenate([rng.integers(1000, 50_000, 6000), np.zeros(9 * t, int) + 7]).astype(np.int32) for t in y]
+    tracemalloc.start()
+    model = toxicity.fit(texts, y, bits=16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * sum(t.nbytes for t in texts)  # more than eight times before
+    monkeypatch.setattr(toxicity, "BLOCK", 1000)
+    again = toxicity.fit(texts, y, bits=16)
+    assert np.array_equal(model.weights, again.weights) and np.array_equal(model.thresholds, again.thresholds)
+
+
 def test_rare_toxic_words_are_learned():
     rng = np.random.default_rng(5)
     y = np.repeat([1, 0], 500)

@@ -45,6 +45,7 @@ PAYS = 0.95  # of the loss that a step further may leave; less gain is more like
 STEMS = (3, 4, 5, 6, 7, 8)
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _CACHE = 200_000
+BLOCK = 1 << 18  # features that training looks at at a time
 
 
 def word_features(word: str, bits: int = BITS) -> list[int]:
@@ -63,26 +64,74 @@ class Ordinal:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - s[:, None], -35, 35)))
 
 
+@dataclass
+class Bag:
+    """Features of texts, one text after the other. Sums go over about ``BLOCK`` features at a time in the order of the whole, so blocks change no bit."""
+
+    flat: np.ndarray
+    lengths: np.ndarray
+
+    def blocks(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """First text and the one after the last, each feature's text counted from the first, the features."""
+        ends, first = np.concatenate([[0], np.cumsum(self.lengths)]), 0
+        while first < len(self.lengths):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + BLOCK, side="right")) - 1)
+            yield first, last, np.repeat(np.arange(last - first), self.lengths[first:last]), self.flat[ends[first] : ends[last]]
+            first = last
+
+    def texts(self) -> Iterator[np.ndarray]:
+        begin = 0
+        for n in self.lengths.tolist():
+            yield self.flat[begin : begin + n]
+            begin += n
+
+    def by_text(self, weights: np.ndarray) -> np.ndarray:
+        """Sum of the weights of each text's features."""
+        return np.concatenate([np.bincount(of, weights=weights[at], minlength=last - first) for first, last, of, at in self.blocks()])
+
+    def by_feature(self, values: np.ndarray, size: int) -> np.ndarray:
+        """Sum of the values of the texts that have a feature, as often as they have it."""
+        total = np.zeros(size)
+        for first, last, of, at in self.blocks():
+            np.add.at(total, at, values[first:last][of])
+        return total
+
+    def only(self, kept: np.ndarray, size: int) -> Bag:
+        """The ``kept`` features, numbered in their order."""
+        rank = np.full(size, -1, np.int32)
+        rank[kept] = np.arange(len(kept))
+        flat, lengths = [], []
+        for first, last, of, at in self.blocks():
+            there = rank[at] >= 0
+            flat.append(rank[at[there]])
+            lengths.append(np.bincount(of[there], minlength=last - first))
+        return Bag(np.concatenate(flat), np.concatenate(lengths))
+
+
 def fit(texts: list[np.ndarray], toxic: np.ndarray, bits: int = BITS, grades: int = GRADES) -> Ordinal:
     """``texts``: feature numbers of each text, once for each distinct word that has them."""
-    size = 1 << bits
     if not len(toxic) or toxic.min() == toxic.max():
-        return Ordinal(np.zeros(size, np.float32), np.full(grades - 1, 35.0))
-    distinct = [np.unique(f) for f in texts]
-    seen = {y: np.bincount(np.concatenate([f for f, t in zip(distinct, toxic, strict=True) if t == y]), minlength=size).astype(float) for y in (0, 1)}
+        return Ordinal(np.zeros(1 << bits, np.float32), np.full(grades - 1, 35.0))
+    bag = Bag(np.concatenate(texts), np.array([len(f) for f in texts]))
+    del texts  # the sample is held once
+    there = np.zeros(1 << bits, bool)
+    there[bag.flat] = True
+    present = np.flatnonzero(there)
+    size, bag = len(present), bag.only(present, len(there))
+    seen = {y: np.zeros(size) for y in (0, 1)}
+    for f, t in zip(bag.texts(), toxic, strict=True):
+        seen[int(t)][np.unique(f)] += 1
     n1, n0 = (toxic == 1).sum(), (toxic == 0).sum()
     n = n1 + n0
     a, b = seen[1], seen[0]
     told = np.maximum(np.abs(a * (n0 - b) - b * (n1 - a)) - n / 2, 0) ** 2 * n / np.maximum((a + b) * (n - a - b) * float(n1 * n0), 1)
     ratio = ((a + 0.1) / n1) / ((b + 0.1) / n0)
     marker = (ratio >= MARK) & (told >= TOLD)
-    marks = np.array([marker[f].sum() for f in texts])
+    marks = np.array([marker[f].sum() for f in bag.texts()])
     cut = np.quantile(marks[toxic == 1], np.arange(1, grades - 1) / (grades - 1))
     y = np.where(toxic == 1, 1 + np.searchsorted(cut, marks, side="left"), 0)
     share = np.where(toxic == 1, 0.5 / n1, 0.5 / n0)  # toxic and other texts weigh alike, however many there are
     noise = 0.5 * np.sqrt(a * (0.5 / n1) ** 2 + b * (0.5 / n0) ** 2)  # of the slope of a feature that tells nothing
-    lengths = np.array([len(f) for f in texts])
-    flat, of_text = np.concatenate(texts), np.repeat(np.arange(n), lengths)
     whole, theta, base = np.zeros(size), np.arange(1.0, grades), np.zeros(n)
 
     def slopes(s: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,15 +151,12 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray, bits: int = BITS, grades: in
 
     def descend(kept: np.ndarray, l1: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Weights of the ``kept`` features beside ``base``, and thresholds."""
-        rank = np.full(size, -1, np.int32)
-        rank[kept] = np.arange(len(kept))
-        at = rank[flat]
-        of, at = of_text[at >= 0], at[at >= 0]
+        own = bag.only(kept, size)
         w = np.zeros(len(kept))
         gw2, gt2 = np.full(len(kept), 1e-8), np.full(grades - 1, 1e-8)
         for _ in range(STEPS):
-            slope, gt = slopes(base + np.bincount(of, weights=w[at], minlength=n), theta)
-            gw = np.bincount(at, weights=slope[of], minlength=len(kept))
+            slope, gt = slopes(base + own.by_text(w), theta)
+            gw = own.by_feature(slope, len(kept))
             gw2 += gw * gw
             gt2 += gt * gt
             step = RATE / np.sqrt(gw2)
@@ -138,7 +184,7 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray, bits: int = BITS, grades: in
     if plain.any():
         kept = np.flatnonzero(plain)
         whole[kept], theta = descend(kept, np.full(len(kept), L1 / 10), theta)
-        base = np.bincount(of_text, weights=whole[flat], minlength=n)
+        base = bag.by_text(whole)
         # Single weights grow slowly where texts are easily told apart: go on along all of them at once while it pays.
         scale, theta = 1.0, set_apart(base, theta)
         least = loss(base, theta)
@@ -154,15 +200,17 @@ def fit(texts: list[np.ndarray], toxic: np.ndarray, bits: int = BITS, grades: in
     s, first = base, theta
     for _ in range(ROUNDS):
         slope, _ = slopes(s, theta)
-        pull = np.abs(np.bincount(flat, weights=slope[of_text], minlength=size))
+        pull = np.abs(bag.by_feature(slope, size))
         more = others & ~active & (pull > RARE_L1 * noise)
         if not more.any():
             break
         active |= more
         kept = np.flatnonzero(active)
         whole[kept], theta = descend(kept, RARE_L1 * noise[kept], first)
-        s = np.bincount(of_text, weights=whole[flat], minlength=n)
-    return Ordinal(whole.astype(np.float32), theta)
+        s = bag.by_text(whole)
+    weights = np.zeros(len(there), np.float32)
+    weights[present] = whole
+    return Ordinal(weights, theta)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int = BITS) -> Ordinal:
@@ -171,11 +219,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", bits: int =
     @F.pandas_udf("binary")
     def hashed(texts: pd.Series) -> pd.Series:
         words = (sorted(set(_WORDS(t.lower()))) for t in texts)
-        return pd.Series([np.array([x for w in ws for x in word_features(w, bits)], np.int32).tobytes() for ws in words])
+        return pd.Series([zlib.compress(np.array([x for w in ws for x in word_features(w, bits)], np.int32).tobytes(), 1) for ws in words])
 
     rows = labelled_sample(docs, labels, label, PER_CLASS, MAX_CHARS).select("doc_id", "label", hashed("text").alias("f")).collect()
     rows.sort(key=lambda r: r.doc_id)
-    return fit([np.frombuffer(r.f, np.int32) for r in rows], np.array([r.label for r in rows]), bits)
+    toxic = np.array([r.label for r in rows])
+    return fit([np.frombuffer(zlib.decompress(r.f), np.int32) for r in rows], toxic, bits)
 
 
 def grade(docs: DataFrame, model: Ordinal, text_col: str = "text", bits: int = BITS) -> DataFrame:

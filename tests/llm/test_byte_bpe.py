@@ -77,6 +77,20 @@ def test_encoder_agrees_with_the_library(spark, ranks, library, monkeypatch):
         assert whole(t) == library(t), t
 
 
+def test_unknown_words_of_many_texts_are_merged_together(ranks, library, monkeypatch):
+    table, rng, merge, long = byte_bpe.PerfectHash.of(ranks), random.Random(11), byte_bpe.merge, []
+    monkeypatch.setattr(byte_bpe, "merge", lambda piece, *more: long.append(len(piece)) or merge(piece, *more))
+    words = ["".join(rng.choices("aeionrstlzq\u00e9\u4e16\U0001f600", k=rng.randint(1, 30))) for _ in range(3000)] + ["ab" * 500, "a" * 64, "a" * 65]
+    texts = [None, "", *[" ".join(rng.choices(words, k=rng.randint(1, 40))) for _ in range(400)], " ".join(words)]
+    for gather, rows, stretch in ((1_000_000, 8192, 200_000), (50, 7, 20)):
+        for name, value in (("GATHER", gather), ("ROWS", rows)):
+            monkeypatch.setattr(byte_bpe, name, value)
+        monkeypatch.setattr(byte_bpe.stretches, "__defaults__", (stretch,))
+        got = list(byte_bpe.Encoder(table, public_tokenizers.PATTERN).many(texts))
+        assert got == [library(t or "") for t in texts]
+    assert long and min(long) > byte_bpe.SHORT  # each unknown word before
+
+
 def test_encode_and_decode_rows(spark, library):
     rows = [(i, t, b"clash", "clash", 1) for i, t in enumerate(ODD)] + [(3, ODD[3], None, None, None), (None, "no id", None, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids binary, decoded string, n_tokens int").repartition(3)

@@ -4,10 +4,12 @@ The pattern cuts a text into pre-tokens. The first tier is a minimal perfect has
 the bucket's displacement sends the key to its own slot, and the slot's bytes are compared, so a pre-token that is a token
 itself is found whole. What is not found goes to the second tier: its bytes form a linked list, a heap holds the adjacent pairs
 whose joined bytes are a token by (rank, place), and the least one is merged until none is left. The hash answers that tier's
-questions too. Tables are built once on the driver and broadcast; their size is the vocabulary's.
+questions too. Pre-tokens of at most ``SHORT`` bytes, nearly all, are merged many at once instead: rows of ids, of which each loses its
+leftmost pair of least rank in a round; a sorted table of the pairs of ids that make a token answers. Tables are built once on the
+driver and broadcast; their size is the vocabulary's.
 
 Long texts are cut into stretches before white space that follows something else, where no pre-token goes on, so that a text's
-pre-tokens are never held at once. Resolved pre-tokens are remembered, at most ``LIMIT`` of them in a worker.
+pre-tokens are never held at once; the unknown pre-tokens of about ``GATHER`` letters are resolved together. Resolved pre-tokens are remembered, at most ``LIMIT`` of them in a worker.
 
 Defined results: null and empty texts have no ids and decode to no bytes; special tokens' strings are ordinary text; rows are
 independent, so repeated rows, ids that are null and empty tables need nothing; other columns are not carried. Null ids
@@ -19,7 +21,7 @@ from __future__ import annotations
 import base64
 import heapq
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +34,9 @@ from pyspark.sql import functions as F
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PER_BUCKET = 4
 STRETCH = 200_000  # letters of a text that are cut into pre-tokens at a time
+GATHER = 1_000_000
+SHORT = 64
+ROWS = 8192  # pre-tokens that are merged at once
 LIMIT = 300_000
 LONGEST_KEPT = 200  # letters of the longest pre-token that is remembered
 
@@ -156,6 +161,65 @@ def merge(piece: bytes, find, single: list[int]) -> list[int]:
     return ids
 
 
+_NONE = np.iinfo(np.int32).max
+
+
+class Pairs:
+    """The ranks of tokens by pairs of ids whose bytes they join."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        cut = [(ranks[t[:k]] << 32 | ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+        cut.sort()
+        self.keys, self.ranks = np.array([k for k, _ in cut] + [_NONE << 32], np.int64), np.array([r for _, r in cut] + [_NONE], np.int32)
+        self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
+        self.whole = bool(self.single.min() >= 0)  # else ids do not tell the bytes
+
+    def find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, ``_NONE`` for no token."""
+        asked = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        return np.where(self.keys[at] == asked, self.ranks[at], _NONE)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pieces of at least two bytes as 32-bit bytes: of each piece the pair of least rank first, of equal ones the leftmost."""
+        found: list[bytes] = [b""] * len(pieces)
+        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+        for begin in range(0, len(order), ROWS):
+            self._merge([pieces[i] for i in order[begin : begin + ROWS]], order[begin : begin + ROWS], found)
+        return found
+
+    def _merge(self, pieces: list[bytes], places: list[int], found: list[bytes]) -> None:
+        left, place = np.array([len(p) for p in pieces]), np.array(places)
+        inside = np.arange(left.max()) < left[:, None]
+        ids = np.zeros(inside.shape, np.int32)
+        ids[inside] = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
+        pair = np.where(inside[:, 1:], self.find(ids[:, :-1], ids[:, 1:]), _NONE)
+        while len(ids):
+            row = np.arange(len(ids))
+            at = pair.argmin(1) if pair.shape[1] else np.zeros(len(ids), int)
+            least = pair[row, at] if pair.shape[1] else np.full(len(ids), _NONE)
+            done = least == _NONE
+            if done.any():
+                raw, ends = ids[done][np.arange(ids.shape[1]) < left[done][:, None]].astype("<u4").tobytes(), (4 * np.cumsum(left[done])).tolist()
+                for p, first, end in zip(place[done].tolist(), [0, *ends], ends, strict=False):
+                    found[p] = raw[first:end]
+                ids, pair, left, place, at, least = (x[~done] for x in (ids, pair, left, place, at, least))
+                row = np.arange(len(ids))
+            # Every row that is left loses one id and one pair.
+            ids[row, at] = least
+            kept = np.ones(ids.shape, bool)
+            kept[row, at + 1] = False
+            ids = ids[kept].reshape(len(ids), -1) if len(ids) else ids
+            kept = np.ones(pair.shape, bool)
+            kept[row, at] = False
+            pair = pair[kept].reshape(len(ids), -1) if len(ids) else pair
+            left = left - 1
+            for second in (at + 1, at):
+                r = row[(second > 0) & (second < left)]
+                s = second[r]
+                pair[r, s - 1] = self.find(ids[r, s - 1], ids[r, s])
+
+
 def stretches(text: str, size: int = STRETCH) -> Iterator[str]:
     """The text in pieces of about ``size`` letters that no pre-token crosses."""
     begin = 0
@@ -180,8 +244,9 @@ class _Asked(dict):
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes, by a perfect hash and a pattern."""
 
-    def __init__(self, table: PerfectHash, pattern: str, limit: int = LIMIT) -> None:
+    def __init__(self, table: PerfectHash, pattern: str, limit: int = LIMIT, pairs: Pairs | None = None) -> None:
         self.table, self.cut, self.limit = table, regex.compile(pattern), limit
+        self.pairs = pairs or Pairs(dict(zip(table.keys, table.ranks, strict=True)))
         self.known: dict[str, bytes] = {}
         self.joined = _Asked(table)
         self.single = [table.find(bytes([b])) for b in range(256)]
@@ -193,31 +258,52 @@ class Encoder:
         keys = [p.encode("utf-8", "replace") for p in parts]
         slots, table = self.table.slots(keys), self.table
         ids = table.values[slots].astype("<u4").tobytes()
-        found = {}
+        found, short = {}, {}
         for i, (part, key, slot) in enumerate(zip(parts, keys, slots.tolist(), strict=True)):
             if table.keys[slot] == key:
                 found[part] = ids[4 * i : 4 * i + 4]
+            elif 2 <= len(key) <= SHORT and self.pairs.whole:
+                short[part] = key
             else:
                 merged = merge(key, self.joined.__getitem__, self.single)
                 found[part] = struct.pack(f"<{len(merged)}I", *merged)
+        found.update(zip(short, self.pairs.merge(list(short.values())), strict=True))
         return found
 
+    def many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text, in order."""
+        held: list[list[str] | None] = []  # pre-tokens of stretches; None ends a text
+        letters, begun = 0, []
+        for text in texts:
+            for stretch in stretches(text or ""):
+                held.append(self.cut.findall(stretch))
+                letters += len(stretch)
+                if letters >= GATHER:
+                    yield from self._ids(held, begun)
+                    held, letters = [], 0
+            held.append(None)
+        yield from self._ids(held, begun)
+
+    def _ids(self, held: list[list[str] | None], begun: list[bytes]) -> list[bytes]:
+        """Ids of the texts that end in ``held``; those of a text that does not end yet stay in ``begun``."""
+        known, done = self.known, []
+        if len(known) > self.limit:
+            known.clear()
+        new = set().union(*[parts for parts in held if parts is not None]).difference(known)
+        known.update(self.resolve(list(new)))
+        for parts in held:
+            if parts is not None:
+                begun.append(b"".join(map(known.__getitem__, parts)))
+            else:
+                done.append(b"".join(begun))
+                begun.clear()
+        for p in new:
+            if len(p) > LONGEST_KEPT:
+                del known[p]
+        return done
+
     def __call__(self, text: str | None) -> bytes:
-        out, known = [], self.known
-        for stretch in stretches(text or ""):
-            parts = self.cut.findall(stretch)
-            if len(known) > self.limit:
-                known.clear()
-            try:
-                out.append(b"".join(map(known.__getitem__, parts)))
-            except KeyError:
-                found = self.resolve([p for p in dict.fromkeys(parts) if p not in known])
-                known.update(found)
-                out.append(b"".join(map(known.__getitem__, parts)))
-                for p in found:
-                    if len(p) > LONGEST_KEPT:
-                        del known[p]
-        return b"".join(out)
+        return next(self.many([text]))
 
 
 class Codec:
@@ -232,16 +318,16 @@ class Codec:
         tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
-        shared = spark.sparkContext.broadcast((PerfectHash.of(ranks), tokens, pattern))
+        shared = spark.sparkContext.broadcast((PerfectHash.of(ranks), tokens, pattern, Pairs(ranks)))
 
         def encoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            table, _, cut = shared.value
-            encoder = Encoder(table, cut)
+            table, _, cut, pairs = shared.value
+            encoder = Encoder(table, cut, pairs=pairs)
             for part in parts:
-                yield pd.Series([encoder(text) for text in part], dtype=object)
+                yield pd.Series(list(encoder.many(part)), dtype=object)
 
         def decoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            _, of, _ = shared.value
+            of = shared.value[1]
             for part in parts:
                 yield pd.Series([bytes_of(ids, of) for ids in part], dtype=object)
 

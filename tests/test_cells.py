@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +130,64 @@ def test_queries_choose_their_cells_of_all_groups_at_once(spark, folder, monkeyp
         monkeypatch.setattr(cells, "_cells_of", counted)
         assert found(cells.search(index, asked, k=4, exact=True, probe_groups=3, probes=2)[0]) == want
         assert 2 * n <= seen.value <= 2 * n * slices < 2 * n * len(index.groups) * slices
+
+
+def most_mb(run, *rows):
+    """The most that a task's function held at a time, and what it returned."""
+    tracemalloc.start()
+    try:
+        out = run(*rows)
+        return tracemalloc.get_traced_memory()[1] / 1e6, out
+    finally:
+        tracemalloc.stop()
+
+
+def test_cells_within_reach_are_bits_and_not_lists():
+    """Where no bound spares a cell, a task held a list of all cells for each of its queries."""
+    rng = np.random.default_rng(4)
+    queries, groups, within = 4_000, 40, 50
+    asked = pd.DataFrame({"query_id": range(queries), "u": list(rng.normal(size=(queries, 4))), "reach": 4.0})
+    asked["groups"], asked["before"] = [np.arange(groups)] * queries, [np.array([3, 7])] * queries
+    at = np.arange(groups * within)
+    shown = pd.DataFrame({"grp": at // within, "own": at % within, "centre": list(rng.normal(size=(len(at), 4))), "radius": 0.5})
+    shown = shown.assign(at=at, bundle=at // 1_000, bit=at % 1_000)
+    mb, out = most_mb(cells._cells_of(None), asked, shown)
+    assert mb < 40
+    assert len(out) == 2 * queries and {len(x) for x in out["cells"]} == {125}
+    assert sum(np.bitwise_count(np.frombuffer(x, np.uint8)).sum() for x in out["cells"]) == queries * (len(at) - 2)
+
+
+@pytest.mark.parametrize("share", [1.0, 0.1])
+def test_ties_are_cut_as_they_are_found(share):
+    """All vectors at one distance of all queries were held before the k best were taken."""
+    n, k, cells_ = 3_000, 5, 100
+    one, rng = np.array([3.0, 4.0]), np.random.default_rng(6)
+    met = rng.random((n, cells_)) < share
+    left = pd.DataFrame({"query_id": range(n), "v": [one] * n, "far": math.inf})
+    left["cells"] = [x.tobytes() for x in np.packbits(met, axis=1)]
+    right = pd.DataFrame({"key": rng.permutation(n), "v": [one] * n, "bit": rng.integers(0, cells_, n)})
+    mb, out = most_mb(cells._meeting("key", k), left, right)
+    assert mb < 60 * max(share, 0.5)
+    keys = right.sort_values("key")
+    want = [(q, key) for q in range(0, n, 100) for key in keys["key"][met[q][keys["bit"]]].head(k)]
+    out = out[out["query_id"] % 100 == 0]
+    assert sorted(zip(out["query_id"], out["key"])) == sorted(want) and (out["distance"] == 0).all()
+
+
+def test_bundles_and_slices_meet_every_cell_once(spark, folder, monkeypatch):
+    rng = np.random.default_rng(8)
+    data = [(i, rng.normal(size=6).tolist()) for i in range(700)] + [(1000 + i, [1.0, 2.0, 0.0, 0.0, 0.0, 0.0]) for i in range(200)]
+    df = spark.createDataFrame(data, ROW)
+    cells.build(df, f"{folder}/index", cell_rows=15)
+    index = cells.Cells(spark, f"{folder}/index")
+    asked = as_queries(df.where("vec_id % 3 = 0"))
+    want = found(vectors.similar(asked, df, k=4))
+    for name, value in (("TILE_LEAST", 60), ("SLICE_CELLS", 25), ("HELD", 8), ("ACROSS", 16), ("SCORES", 256), ("SPARSE_ROWS", 32)):
+        monkeypatch.setattr(cells, name, value)
+    bundles = cells._Bundles(index)
+    blocks = [r.c_blocks for r in bundles.sizes.collect()]
+    assert len(blocks) > 3 and max(blocks) > 1 and bundles.slices > 1
+    got, met = cells.search(index, asked, k=4, exact=True, probe_groups=2, probes=3)
+    assert found(got) == want
+    assert met.distinct().count() == met.count() <= asked.count() * index.cells.count()
+    assert found(cells.search(index, asked, k=4, probe_groups=99, probes=999)[0]) == want
